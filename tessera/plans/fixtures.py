@@ -63,11 +63,11 @@ panel AS (SELECT s.hour, w.click, w.error, w.purchase, w.signup, w.view
 """
 
 SQL_DAILY_ORDERS = """
-daily AS (SELECT CAST(o_orderdate AS DATE) AS date, sum(o_totalprice) AS value
+daily AS (SELECT CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS date, sum(o_totalprice) AS value
           FROM orders GROUP BY 1)
 """
 
 SQL_NEWS = """
-news AS (SELECT CAST(DATE '2024-01-01' + CAST(doc_id % 30 AS INTEGER) AS DATE) AS date,
+news AS (SELECT CAST(DATE '2024-01-01' + CAST(doc_id % 30 AS INTEGER) AS TIMESTAMP) AS date,
                 doc_id, text, lang FROM documents)
 """

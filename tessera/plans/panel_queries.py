@@ -43,3 +43,89 @@ SELECT hour, {", ".join(f"round({c}, 6) AS {c}" for c in SERIES)},
             ELSE 'test' END AS split
 FROM feat
 """)(panel_features)
+
+
+# ----------------------------------------------------------- ordered operators
+
+_D = f"WITH {SQL_DAILY_ORDERS}"
+
+
+@query("pct_change", f"""{_D}
+SELECT date, value, round((value / nullif(lag(value) OVER (ORDER BY date), 0) - 1) * 100, 6) AS value_pct_chg
+FROM daily""")
+def q_pct_change(spark, sf):
+    return round_doubles(O.pct_change(daily_orders(spark, sf), ["value"], order="date"))
+
+
+@query("lead_target", f"""WITH {SQL_HOURLY_PANEL},
+full_rows AS (SELECT * FROM panel WHERE {" AND ".join(f"{c} IS NOT NULL" for c in SERIES)})
+SELECT *, lead(purchase) OVER (ORDER BY hour) AS target FROM full_rows""")
+def q_lead_target(spark, sf):
+    p = hourly_panel(spark, sf).na.drop("any")
+    return O.lead_target(p, MAIN, "target", order="hour")
+
+
+@query("log_return", f"""{_D}
+SELECT date, value, round(CASE WHEN value / lag(value) OVER (ORDER BY date) > 0
+   THEN ln(value / lag(value) OVER (ORDER BY date)) END, 9) AS value_log_ret FROM daily""")
+def q_log_return(spark, sf):
+    out = O.log_return(daily_orders(spark, sf), "value", order="date")
+    return out.withColumn("value_log_ret", F.round("value_log_ret", 9))
+
+
+@query("backward_fill", f"""WITH {SQL_HOURLY_PANEL}
+SELECT hour, {_FILL} FROM panel
+WINDOW f AS (ORDER BY hour ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)""")
+def q_backward_fill(spark, sf):
+    return O.backfill(hourly_panel(spark, sf), SERIES, order="hour")
+
+
+@query("gap_segment_average", f"""WITH {SQL_HOURLY_PANEL},
+seg AS (SELECT *, coalesce(count(purchase) OVER (ORDER BY hour ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+  AS s FROM panel)
+SELECT hour, purchase, round(avg(click) OVER (PARTITION BY s), 6) AS score FROM seg""")
+def q_gap_segment_average(spark, sf):
+    p = hourly_panel(spark, sf).select("hour", "click", "purchase")
+    out = O.gap_segment_average(p, "click", "purchase", name="score", order="hour")
+    return round_doubles(out.select("hour", "purchase", "score"))
+
+
+@query("row_index", f"""{_D} SELECT date, row_number() OVER (ORDER BY date) AS row_index FROM daily""")
+def q_row_index(spark, sf):
+    return O.row_index(daily_orders(spark, sf).select("date"), order="date")
+
+
+@query("chronological_split", f"""{_D}
+SELECT date, value, CASE WHEN rn <= floor(n * 0.6::DOUBLE) THEN 'train'
+  WHEN rn <= floor(n * 0.6::DOUBLE) + floor(n * 0.2::DOUBLE) THEN 'val' ELSE 'test' END AS split
+FROM (SELECT *, row_number() OVER (ORDER BY date) AS rn, count(*) OVER () AS n FROM daily)""")
+def q_chronological_split(spark, sf):
+    return O.chronological_split(daily_orders(spark, sf), order="date")
+
+
+@query("lag_matrix", """WITH cells AS (
+  SELECT date_trunc('hour', ts) AS hour, event_type, arg_max(value, ts) AS value FROM events GROUP BY 1, 2)
+SELECT hour, event_type, value, """ + ", ".join(
+    f"lag(value, {i}) OVER (PARTITION BY event_type ORDER BY hour) AS value_lag{i}" for i in range(1, 6))
+       + " FROM cells")
+def q_lag_matrix(spark, sf):
+    from .fixtures import hourly_cells
+    cells = (hourly_cells(spark, sf).groupBy("hour", "event_type")
+             .agg(F.max_by("value", "ts").alias("value")))
+    return O.lag_matrix(cells, "value", 5, keys=["event_type"], order="hour", bucket="day")
+
+
+@query("difference", f"""{_D} SELECT date, value, round(value - lag(value) OVER (ORDER BY date), 6) AS value_diff
+FROM daily""")
+def q_difference(spark, sf):
+    return round_doubles(O.difference(daily_orders(spark, sf), "value", order="date"))
+
+
+@query("sequence_windows", f"""{_D},
+w AS (SELECT date, list(value) OVER (ORDER BY date ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS win FROM daily)
+SELECT date, CAST(i AS BIGINT) AS offset, round(win[i], 6) AS value
+FROM (SELECT date, win, unnest(range(1, 11)) AS i FROM w WHERE len(win) = 10)""")
+def q_sequence_windows(spark, sf):
+    out = O.sequence_windows(daily_orders(spark, sf), "value", 10, order="date")
+    ex = out.select("date", F.posexplode("window").alias("offset", "value"))
+    return round_doubles(ex.withColumn("offset", (F.col("offset") + 1).cast("long")))

@@ -13,11 +13,25 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+def contract(df: DataFrame) -> DataFrame:
+    """Output convention of registered queries: calendar days leave as midnight
+    timestamps, the form the driver's tables use for days."""
+    dates = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DateType)]
+    if not dates:
+        return df
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in dates})
+
+
 def query(name: str, sql: str | None = None):
     def deco(fn):
         if name in QUERIES:
             raise ValueError(f"duplicate query key {name}")
-        QUERIES[name] = fn
+
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return contract(fn(spark, sf_dir))
+        run.__name__ = fn.__name__
+        run.__doc__ = fn.__doc__
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql
         return fn
@@ -36,5 +50,6 @@ def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
 
 def ensure_loaded() -> None:
     from . import (  # noqa: F401  (registration side effects)
+        column_queries,
         panel_queries,
     )
