@@ -37,7 +37,7 @@ def hourly_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
 def daily_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     return (o.groupBy(F.to_date("o_orderdate").alias("date"))
-            .agg(F.sum("o_totalprice").alias("value")))
+            .agg(F.round(F.sum("o_totalprice"), 2).alias("value")))
 
 
 def news(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,7 +63,7 @@ panel AS (SELECT s.hour, w.click, w.error, w.purchase, w.signup, w.view
 """
 
 SQL_DAILY_ORDERS = """
-daily AS (SELECT CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS date, sum(o_totalprice) AS value
+daily AS (SELECT CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS date, round(sum(o_totalprice), 2) AS value
           FROM orders GROUP BY 1)
 """
 
