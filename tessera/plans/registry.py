@@ -51,6 +51,7 @@ def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
 def ensure_loaded() -> None:
     from . import (  # noqa: F401  (registration side effects)
         column_queries,
+        feature_queries,
         quality_queries,
         panel_queries,
     )
