@@ -165,10 +165,12 @@ def log_transform(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.withColumns({c: F.ln(_q(c)) for c in ok})
 
 
-def yeo_johnson_expr(x: Column, lam: float) -> Column:
-    """Yeo-Johnson transform at a fixed lambda."""
-    pos = F.log1p(x) if abs(lam) < 1e-12 else (F.pow(x + 1, F.lit(lam)) - 1) / F.lit(lam)
-    neg = -F.log1p(-x) if abs(lam - 2) < 1e-12 else -(F.pow(1 - x, F.lit(2 - lam)) - 1) / F.lit(2 - lam)
+def yeo_johnson_expr(x: Column, lam) -> Column:
+    """Yeo-Johnson transform; ``lam`` is a number or a column."""
+    lam_c = lam if isinstance(lam, Column) else F.lit(float(lam))
+    pos = F.when(F.abs(lam_c) < 1e-12, F.log1p(x)).otherwise((F.pow(x + 1, lam_c) - 1) / lam_c)
+    neg = F.when(F.abs(lam_c - 2) < 1e-12, -F.log1p(-x)).otherwise(
+        -(F.pow(1 - x, 2 - lam_c) - 1) / (2 - lam_c))
     return F.when(x >= 0, pos).otherwise(neg)
 
 
@@ -176,34 +178,34 @@ def fit_yeo_johnson(df: DataFrame, cols: Sequence[str], lo: float = -3.0, hi: fl
                     points: int = 13, passes: int = 5) -> dict[str, float]:
     """OUT-03 fit: lambda by maximum likelihood, ``-n/2 ln var_pop(y_lambda) +
     (lambda - 1) sum sign(x) ln(1 + |x|)``, searched on a grid refined around the best
-    point each pass. Each pass is ONE aggregation computing n, sum and sum of squares of
-    every candidate transform of every column."""
+    point each pass. A pass is one aggregation: every value meets its column's grid of
+    candidate lambdas and ``var_pop`` is taken per (column, lambda), reduced map-side."""
     cols = list(cols)
-    # several passes read the same columns: materialise just those once (reliable
+    st = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), _q(c).cast("double").alias("x")) for c in cols]))
+    # several passes read the same values: materialise the long form once (reliable
     # checkpoint in spark.checkpoint.dir) instead of recomputing the lineage per pass
-    df = df.select(*[_q(c) for c in cols]).checkpoint(eager=True)
+    long = df.select(st.alias("s")).select("s.c", "s.x").filter(F.col("x").isNotNull()).checkpoint(eager=True)
+    base = long.groupBy("c").agg(F.sum(F.signum("x") * F.log1p(F.abs("x"))).alias("s"),
+                                 F.count(F.lit(1)).alias("n")).collect()
+    s_of = {r["c"]: (r["s"], r["n"]) for r in base}
     grids = {c: np.linspace(lo, hi, points) for c in cols}
     best = {}
-    s_row = df.agg(*[F.sum(F.signum(_q(c)) * F.log1p(F.abs(_q(c)))).alias(c) for c in cols]
-                   + [F.count(_q(c)).alias(f"{c}__n") for c in cols]).first().asDict()
     for _ in range(passes):
-        aggs = []
+        grid_map = F.create_map(*[x for c in cols for x in (F.lit(c), F.array(*[F.lit(float(v)) for v in grids[c]]))])
+        cand = long.select("c", "x", F.explode(F.element_at(grid_map, F.col("c"))).alias("lam"))
+        r = cand.groupBy("c", "lam").agg(F.var_pop(yeo_johnson_expr(F.col("x"), F.col("lam"))).alias("v")).collect()
+        by_col: dict[str, list] = {}
+        for row in r:
+            by_col.setdefault(row["c"], []).append((row["lam"], row["v"]))
         for c in cols:
-            x = _q(c).cast("double")
-            for i, lam in enumerate(grids[c]):
-                y = yeo_johnson_expr(x, float(lam))
-                aggs += [F.var_pop(y).alias(f"{c}__v{i}")]
-        r = df.agg(*aggs).first().asDict()
-        for c in cols:
-            n = s_row[f"{c}__n"]
-            s = s_row[c] or 0.0
+            s, n = s_of.get(c, (0.0, 0))
             lls = []
-            for i, lam in enumerate(grids[c]):
-                v = r[f"{c}__v{i}"]
-                lls.append(-np.inf if v is None or not np.isfinite(v) or v <= 0
-                           else -n / 2 * np.log(v) + (lam - 1) * s)
-            j = int(np.argmax(lls))
-            best[c] = float(grids[c][j])
+            for lam, v in sorted(by_col.get(c, [])):
+                ll = -np.inf if v is None or not np.isfinite(v) or v <= 0 else -n / 2 * np.log(v) + (lam - 1) * s
+                lls.append((ll, lam))
+            if not lls:
+                continue
+            best[c] = float(max(lls)[1])
             step = grids[c][1] - grids[c][0]
             grids[c] = np.linspace(best[c] - step, best[c] + step, points)
     return best
