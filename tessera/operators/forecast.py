@@ -90,29 +90,63 @@ def _seasonal_features(t_days: Column, t_unit: Column, n_changepoints: int, week
     return feats
 
 
+def _seasonal_numpy(day: float, unit: float, n_changepoints: int, weekly: int, yearly: int) -> np.ndarray:
+    """The same features as ``_seasonal_features`` for one point, with a leading 1."""
+    f = [1.0, unit]
+    f += [max(unit - 0.8 * j / (n_changepoints + 1), 0.0) for j in range(1, n_changepoints + 1)]
+    for period, k_max in ((7.0, weekly), (365.25, yearly)):
+        for k in range(1, k_max + 1):
+            ang = 2 * np.pi * k / period * day
+            f += [np.sin(ang), np.cos(ang)]
+    return np.asarray(f)
+
+
 def trend_seasonal_forecast(df: DataFrame, value: str, keys=(), order="date", n_changepoints: int = 25,
                             weekly: int = 3, yearly: int = 10, ridge: float = 1.0,
                             name: str = "trend_seasonal") -> DataFrame:
     """FOR-03: additive piecewise-linear trend (hinges at ``n_changepoints`` points in the
     first 80% of the time span) + weekly and yearly Fourier terms, fitted by ridge on
-    the normal equations; forecast at the next calendar day."""
-    df, keys = _keyed(df, keys)
+    the normal equations; forecast at the next calendar day. The Gram matrix is one
+    distributed pass; solve and next-day features run per key in numpy."""
+    keys = list(keys)
     order = O._as_list(order)[0]
     day = F.datediff(F.col(order).cast("date"), F.lit("1970-01-01").cast("date")).cast("double")
     span = df.groupBy(*keys).agg(F.min(day).alias("__t0"), F.max(day).alias("__t1"))
-    base = df.select(*keys, order, value).withColumn("__day", day).join(span, keys, "inner")
+    if keys:
+        base = df.select(*keys, order, value).withColumn("__day", day).join(span, keys, "inner")
+    else:
+        # one series: its time span is two scalars, read once
+        r = span.first()
+        df, keys = _keyed(df, keys)
+        span = df.sparkSession.range(1).select(F.lit(0).alias(ONE), F.lit(r["__t0"]).alias("__t0"),
+                                                 F.lit(r["__t1"]).alias("__t1"))
+        base = df.select(*keys, order, value).withColumns(
+            {"__day": day, "__t0": F.lit(r["__t0"]), "__t1": F.lit(r["__t1"])})
     unit = (F.col("__day") - F.col("__t0")) / F.greatest(F.col("__t1") - F.col("__t0"), F.lit(1.0))
     feats = _seasonal_features(F.col("__day"), unit, n_changepoints, weekly, yearly)
     names = [f"__x{i}" for i in range(len(feats))]
     x = base.select(*keys, value, *[f.alias(n) for f, n in zip(feats, names)])
     p = len(names) + 1
-    coef = solve(gram(x, names, value, keys), keys, p, ridge=ridge).select(*keys, "coef")
-    nxt_day = F.col("__t1") + 1
-    nxt_unit = (nxt_day - F.col("__t0")) / F.greatest(F.col("__t1") - F.col("__t0"), F.lit(1.0))
-    nf = F.array(F.lit(1.0), *_seasonal_features(nxt_day, nxt_unit, n_changepoints, weekly, yearly))
-    j = span.join(coef, keys, "inner")
-    return _unkey(j.select(*keys, F.lit(name).alias("name"),
-                           round_half_even(dot(F.col("coef"), nf), 2).alias("forecast")))
+    g = gram(x, names, value, keys).join(span, keys, "inner")
+    key_fields = [g.schema[c] for c in keys]
+    schema = T.StructType(key_fields + [T.StructField("name", T.StringType()),
+                                        T.StructField("forecast", T.DoubleType())])
+    lam = ridge * np.ones(p)
+    lam[0] = 0.0
+
+    def fit(it):
+        for pdf in it:
+            out = []
+            for d in pdf.to_dict("records"):
+                a = np.asarray(d["xtx"], dtype=float).reshape(p, p) + np.diag(lam)
+                coef = np.linalg.lstsq(a, np.asarray(d["xty"], dtype=float), rcond=None)[0]
+                t0, t1 = float(d["__t0"]), float(d["__t1"])
+                nxt = t1 + 1
+                z = _seasonal_numpy(nxt, (nxt - t0) / max(t1 - t0, 1.0), n_changepoints, weekly, yearly)
+                out.append([d[c] for c in keys] + [name, float(np.rint(float(z @ coef) * 100) / 100)])
+            yield pd.DataFrame(out, columns=keys + ["name", "forecast"])
+
+    return _unkey(g.mapInPandas(fit, schema))
 
 
 def var_forecast(df: DataFrame, value: str, keys=(), order="date", max_lags: int = 15,
@@ -148,8 +182,7 @@ def var_forecast(df: DataFrame, value: str, keys=(), order="date", max_lags: int
     def fit(it):
         for pdf in it:
             out = []
-            for r in pdf.itertuples(index=False):
-                d = r._asdict()
+            for d in pdf.to_dict("records"):
                 G = np.asarray(d["xtx"], dtype=float).reshape(q, q)
                 n = float(d["n"])
                 ycols = [q - 2, q - 1]

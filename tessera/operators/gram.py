@@ -78,8 +78,7 @@ def solve(g: DataFrame, keys: Sequence[str], p: int, ridge: float | Sequence[flo
     def run(it):
         for pdf in it:
             out = []
-            for r in pdf.itertuples(index=False):
-                d = r._asdict()
+            for d in pdf.to_dict("records"):
                 a = np.asarray(d["xtx"], dtype=float).reshape(p, p)
                 b = np.asarray(d["xty"], dtype=float)
                 try:

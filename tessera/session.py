@@ -36,6 +36,9 @@ def prepare(spark: SparkSession) -> SparkSession:
     checkpoint folder. The cluster's ``spark.checkpoint.dir`` always wins; a scratch
     folder is only made when none is configured (local runs and tests)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    # wide feature plans (dozens of derived columns) make constraint inference
+    # explode in planning time; nothing here relies on inferred filters
+    spark.conf.set("spark.sql.constraintPropagation.enabled", "false")
     checkpoint_dir(spark)
     return spark
 
