@@ -26,7 +26,7 @@ def parse_date_strict(c: Column, fmt: str = ISO_DATE) -> Column:
 
 def published_date(text: Column) -> Column:
     """CST-01 / STX-08: second blank-separated word, commas removed, ``dd-MM-yyyy``."""
-    word = F.regexp_replace(F.trim(F.element_at(F.split(F.trim(text), " "), 2)), ",", "")
+    word = F.regexp_replace(F.trim(F.try_element_at(F.split(F.trim(text), " "), F.lit(2))), ",", "")
     return F.try_to_timestamp(word, F.lit(ARTICLE_DATE)).cast("date")
 
 

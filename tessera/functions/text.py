@@ -76,7 +76,7 @@ def remove_noise(c: Column) -> Column:
 
 def nth_word(c: Column, n: int) -> Column:
     """STX-08: n-th (1-based) blank-separated word, stripped, commas removed."""
-    return F.regexp_replace(F.trim(F.element_at(F.split(c, " "), n)), ",", "")
+    return F.regexp_replace(F.trim(F.try_element_at(F.split(c, " "), F.lit(n))), ",", "")
 
 
 def join_paragraphs(paragraphs: Column, sep: str = " ") -> Column:

@@ -54,5 +54,6 @@ def ensure_loaded() -> None:
         feature_queries,
         model_queries,
         quality_queries,
+        text_queries,
         panel_queries,
     )
