@@ -52,6 +52,7 @@ def ensure_loaded() -> None:
     from . import (  # noqa: F401  (registration side effects)
         column_queries,
         feature_queries,
+        io_queries,
         model_queries,
         quality_queries,
         text_queries,
