@@ -106,10 +106,11 @@ def q_parse_date_strict(spark, sf):
                     D.parse_date_strict(F.date_format("o_orderdate", "MMM d, yyyy"), D.HISTORY_DATE).alias("d2"))
 
 
-_MIXED_SPARK = F.when(F.col("o_orderstatus") == "F", F.date_format("o_orderdate", "yyyy-MM-dd")) \
-    .when(F.col("o_orderstatus") == "O", F.date_format("o_orderdate", "dd-MM-yyyy")) \
-    .when(F.col("o_orderpriority") == "1-URGENT", F.lit("not-a-date")) \
-    .otherwise(F.date_format("o_orderdate", "MMM d, yyyy"))
+def _mixed_text():
+    return (F.when(F.col("o_orderstatus") == "F", F.date_format("o_orderdate", "yyyy-MM-dd"))
+            .when(F.col("o_orderstatus") == "O", F.date_format("o_orderdate", "dd-MM-yyyy"))
+            .when(F.col("o_orderpriority") == "1-URGENT", F.lit("not-a-date"))
+            .otherwise(F.date_format("o_orderdate", "MMM d, yyyy")))
 
 
 @query("parse_date_coerce", """SELECT o_orderkey, CAST(coalesce(
@@ -120,7 +121,7 @@ FROM (SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN strftime(o_orderdate
                               ELSE strftime(o_orderdate, '%b %-d, %Y') END AS t FROM orders)""")
 def q_parse_date_coerce(spark, sf):
     o = table(spark, sf, "orders")
-    return o.select("o_orderkey", D.parse_date_coerce(_MIXED_SPARK).alias("date"))
+    return o.select("o_orderkey", D.parse_date_coerce(_mixed_text()).alias("date"))
 
 
 @query("format_date", "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS date_text FROM orders")
