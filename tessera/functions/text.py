@@ -41,10 +41,12 @@ def clean_text(c: Column) -> Column:
 def tokenize(c: Column) -> Column:
     """STX-02: word tokens of cleaned text: ``%`` and ``--`` stand alone, contractions
     split, blanks separate."""
-    t = F.regexp_replace(c, "%", " % ")
-    t = F.regexp_replace(t, "--", " -- ")
+    t = F.replace(F.replace(c, F.lit("%"), F.lit(" % ")), F.lit("--"), F.lit(" -- "))
+    split = t
     for word, parts in CONTRACTION_SPLITS:
-        t = F.regexp_replace(t, rf"\b{word}\b", parts)
+        split = F.regexp_replace(split, rf"\b{word}\b", parts)
+    any_word = r"\b(" + "|".join(w for w, _ in CONTRACTION_SPLITS) + r")\b"
+    t = F.when(t.rlike(any_word), split).otherwise(t)  # one scan for the common case
     return F.filter(F.split(F.trim(t), r"\s+"), lambda x: x != "")
 
 

@@ -20,9 +20,14 @@ NOUN_SUFFIX_RULES = (("s", ""), ("ses", "s"), ("xes", "x"), ("zes", "z"), ("ches
 
 
 def tokens_of(df: DataFrame, text: str, name: str = "tokens", stopwords: bool = True) -> DataFrame:
-    """STX-01..03: clean, tokenize, drop stop words."""
-    t = X.tokenize(X.clean_text(F.col(text)))
-    return df.withColumn(name, X.remove_stopwords(t) if stopwords else t)
+    """STX-01..03: clean, tokenize, drop stop words (the JVM ``StopWordsRemover`` with
+    the fixed list: a hash lookup per token)."""
+    from pyspark.ml.feature import StopWordsRemover
+    out = df.withColumn(name, X.tokenize(X.clean_text(F.col(text))))
+    if not stopwords:
+        return out
+    rm = StopWordsRemover(inputCol=name, outputCol="__sw", stopWords=list(X.STOP_WORDS), caseSensitive=True)
+    return rm.transform(out).drop(name).withColumnRenamed("__sw", name)
 
 
 def lemma_table(tokens: DataFrame, col: str = "tokens") -> DataFrame:
