@@ -34,7 +34,9 @@ def fit_impute(df: DataFrame, cols=None, strategy: str = "mean", exclude=()) ->
     if strategy == "mean":
         aggs = [F.avg(_q(c)).alias(c) for c in cols]
     elif strategy == "median":
-        aggs = [F.percentile(_q(c), F.lit(0.5)).alias(c) for c in cols]
+        from .quantiles import exact_quantiles
+        q = exact_quantiles(df, cols, [0.5])
+        return {c: q[(c, 0.5)] for c in cols}
     else:
         raise ValueError(f"unknown imputation strategy {strategy!r}")
     return df.agg(*aggs).first().asDict()
@@ -138,17 +140,13 @@ def impute_iterative(df: DataFrame, cols=None, max_iter: int = 10, tol: float =
 def iqr_outlier_columns(df: DataFrame, cols=None, k: float = 1.5, exclude=()) -> DataFrame:
     """OUT-01: per column Q1, Q3, bounds and whether any value lies strictly outside
     ``[Q1 - k IQR, Q3 + k IQR]`` — one pass (quantiles, min and max together)."""
+    from .quantiles import exact_quantiles
     cols = _cols(df, cols, exclude)
-    aggs = []
-    for c in cols:
-        aggs += [F.percentile(_q(c), F.lit(0.25)).alias(f"{c}__q1"), F.percentile(_q(c), F.lit(0.75)).alias(f"{c}__q3"),
-                 F.min(_q(c)).alias(f"{c}__min"), F.max(_q(c)).alias(f"{c}__max")]
-    row = df.agg(*aggs)
-    st = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}__q1`").cast("double").alias("q1"),
-                                      F.col(f"`{c}__q3`").cast("double").alias("q3"),
-                                      F.col(f"`{c}__min`").cast("double").alias("mn"),
-                                      F.col(f"`{c}__max`").cast("double").alias("mx")) for c in cols]))
-    long = row.select(st.alias("s")).select("s.*")
+    q = exact_quantiles(df, cols, [0.25, 0.75])
+    ext = df.agg(*[x for c in cols for x in (F.min(_q(c)).cast("double").alias(f"{c}__min"),
+                                            F.max(_q(c)).cast("double").alias(f"{c}__max"))]).first()
+    rows = [(c, q[(c, 0.25)], q[(c, 0.75)], ext[f"{c}__min"], ext[f"{c}__max"]) for c in cols]
+    long = df.sparkSession.createDataFrame(rows, "column string, q1 double, q3 double, mn double, mx double")
     iqr = F.col("q3") - F.col("q1")
     long = long.withColumn("lower", F.col("q1") - k * iqr).withColumn("upper", F.col("q3") + k * iqr)
     return long.select("column", "q1", "q3", "lower", "upper",
@@ -249,12 +247,13 @@ def robust_scale(df: DataFrame, cols=None, split: str | None = "split", fit_on:
                  exclude=()) -> DataFrame:
     """SCL-02: ``(x - median) / IQR`` with exact quantiles; IQR 0 -> 1."""
     cols = _cols(df, cols, exclude)
+    from .quantiles import exact_quantiles
     src = df.filter(F.col(split) == fit_on) if split else df
-    r = src.agg(*[F.percentile(_q(c), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(c) for c in cols]).first()
+    qs = exact_quantiles(src, cols, [0.25, 0.5, 0.75])
     out = {}
     for c in cols:
-        q = r[c]
-        if q is None:
+        q = [qs[(c, 0.25)], qs[(c, 0.5)], qs[(c, 0.75)]]
+        if q[0] is None:
             continue
         iqr = q[2] - q[0]
         out[c] = (_q(c) - F.lit(q[1])) / F.lit(iqr if iqr else 1.0)

@@ -70,12 +70,13 @@ def group_score_mean(df: DataFrame, key: str, text: str, score: str, order: Sequ
 
 
 def quantiles(df: DataFrame, cols: Sequence[str], probs=(0.25, 0.75)) -> DataFrame:
-    """AGG-06: exact linear-interpolated quantiles, one row, ``<c>_q<p*100>`` columns."""
-    out = []
-    for c in cols:
-        for p in probs:
-            out.append(F.percentile(F.col(c), F.lit(float(p))).alias(f"{c}_q{int(round(p * 100))}"))
-    return df.agg(*out)
+    """AGG-06: exact linear-interpolated quantiles, one row, ``<c>_q<p*100>`` columns
+    (rank selection by narrowing bands; no column is gathered into one task)."""
+    from .quantiles import exact_quantiles
+    q = exact_quantiles(df, cols, probs)
+    names = [f"{c}_q{int(round(p * 100))}" for c in cols for p in probs]
+    vals = [q[(c, p)] for c in cols for p in probs]
+    return df.sparkSession.createDataFrame([tuple(vals)], ", ".join(f"`{n}` double" for n in names))
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:

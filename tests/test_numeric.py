@@ -87,3 +87,13 @@ def test_knn_imputer_rule(spark):
     out = {r["id"]: r for r in FE.impute_knn(df, "id", ["a", "b", "c"], k=2).collect()}
     assert abs(out[1]["c"] - 4.0) < 1e-12          # donors 2 and 5 are nearest
     assert out[4]["b"] is not None
+
+
+def test_exact_quantiles_multi_round(spark):
+    from tessera.operators.quantiles import exact_quantiles
+    rng = np.random.default_rng(11)
+    x = np.concatenate([rng.normal(size=20000), np.full(5000, 0.25), rng.integers(0, 9, 3000)])
+    df = spark.createDataFrame([(float(v),) for v in x], "x double")
+    got = exact_quantiles(df, ["x"], [0.0, 0.25, 0.5, 0.9, 1.0], small=200)  # forces narrowing rounds
+    for p in (0.0, 0.25, 0.5, 0.9, 1.0):
+        assert abs(got[("x", p)] - np.quantile(x, p)) < 1e-12
