@@ -170,7 +170,7 @@ def q_incremental_ingest(spark, sf):
     d = _daily_purchase(spark, sf)
     # history: the first 10 days; then one file per later day, arriving in date order,
     # and a late file re-sending day 5 with another price (ignored: below the mark)
-    IO.overwrite_table(d.filter(F.col("date") <= "2024-01-10"), f"{base}/target/v000000000")
+    ST.write_history(d.filter(F.col("date") <= "2024-01-10"), f"{base}/target")
     days = [r["date"] for r in d.filter(F.col("date") > "2024-01-10").select("date").distinct().orderBy("date").collect()]
     t0 = time.time() - 10 * len(days) - 100
     src = f"{base}/incoming"
