@@ -103,7 +103,8 @@ def impute_iterative(df: DataFrame, cols=None, max_iter: int = 10, tol: float =
     is observed and refill its nulls; stop after ``max_iter`` rounds or when the
     largest change is below ``tol`` times the largest absolute value. Each round is
     one distributed Gram pass; the fitted state is p x p per column. The table is
-    checkpointed each round (reliable checkpoint) so lineage stays flat."""
+    checkpointed once per round (reliable checkpoint), so lineage and the column
+    expressions never nest deeper than one round."""
     from .gram import gram
     cols = _cols(df, cols)
     counts = df.agg(*[F.count(_q(c)).alias(c) for c in cols]).first().asDict()
@@ -129,7 +130,7 @@ def impute_iterative(df: DataFrame, cols=None, max_iter: int = 10, tol: float =
                 pred = pred + F.lit(float(b)) * _q(o)
             change = cur.filter(F.col(f"__m_{c}")).agg(F.max(F.abs(pred - _q(c)))).first()[0] or 0.0
             biggest = max(biggest, change)
-            cur = cur.withColumn(c, F.when(F.col(f"__m_{c}"), pred).otherwise(_q(c))).checkpoint(eager=True)
+            cur = cur.withColumn(c, F.when(F.col(f"__m_{c}"), pred).otherwise(_q(c)))
         if biggest < tol * scale:
             break
     return cur.drop(*[f"__m_{c}" for c in todo])
