@@ -42,23 +42,22 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     cols = list(cols)
     long = _long(df, cols).checkpoint(eager=True)  # several passes over the same values
     n = {r["ci"]: r["n"] for r in long.groupBy("ci").agg(F.count(F.lit(1)).alias("n")).collect()}
-    state = {}  # (ci, rank) -> [lo, hi, base]: the rank lies in (lo, hi]; base = #values <= lo
+    state = {}  # (ci, rank) -> [lo, hi, base, m]: rank in (lo, hi]; base = #values <= lo; m = #values in band
     for ci in range(len(cols)):
         if not n.get(ci):
             continue
         for p in probs:
             h = (n[ci] - 1) * float(p)
             for r in {math.floor(h), math.ceil(h)}:
-                state[(ci, r)] = [None, None, 0]
+                state[(ci, r)] = [None, None, 0, n[ci]]
     found: dict[tuple[int, int], float] = {}
     for _ in range(12):
         pending = [t for t in state if t not in found]
         if not pending:
             break
-        sizes = long.agg(*[F.count(F.when(_band(ci, *state[(ci, r)][:2]), 1)).alias(f"m{j}")
-                           for j, (ci, r) in enumerate(pending)]).first()
-        few = [t for j, t in enumerate(pending) if sizes[f"m{j}"] <= small]
-        many = [(t, sizes[f"m{j}"]) for j, t in enumerate(pending) if sizes[f"m{j}"] > small]
+        # band sizes are tracked from the counting pass, so no extra pass is needed
+        few = [t for t in pending if state[t][3] <= small]
+        many = [(t, state[t][3]) for t in pending if state[t][3] > small]
         if few:
             cond = None
             for ci, r in few:
@@ -66,14 +65,14 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                 cond = b if cond is None else cond | b
             rows = long.filter(cond).collect()  # at most `small` values per target
             for ci, r in few:
-                lo, hi, base = state[(ci, r)]
+                lo, hi, base, _m = state[(ci, r)]
                 vals = sorted(v["x"] for v in rows if v["ci"] == ci and (lo is None or v["x"] > lo)
                               and (hi is None or v["x"] <= hi))
                 found[(ci, r)] = vals[r - base]
         if many:
             probes = []
             for j, ((ci, r), m) in enumerate(many):
-                lo, hi, base = state[(ci, r)]
+                lo, hi, base, _m = state[(ci, r)]
                 f = (r - base + 0.5) / m
                 fr = [max(f - MARGIN, 0.0), min(f + MARGIN, 1.0)]
                 x_in = F.when(_band(ci, lo, hi), F.col("x"))
@@ -81,7 +80,7 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
             brackets = long.agg(*probes).first()
             counts = []
             for j, ((ci, r), _) in enumerate(many):
-                lo, hi, _b = state[(ci, r)]
+                lo, hi = state[(ci, r)][:2]
                 a_lo, a_hi = brackets[f"a{j}"]
                 inb = _band(ci, lo, hi)
                 counts += [F.count(F.when(inb & (F.col("x") < a_lo), 1)).alias(f"lt_lo{j}"),
@@ -89,20 +88,21 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                            F.count(F.when(inb & (F.col("x") < a_hi), 1)).alias(f"lt_hi{j}"),
                            F.count(F.when(inb & (F.col("x") <= a_hi), 1)).alias(f"le_hi{j}")]
             cnt = long.agg(*counts).first()
-            for j, ((ci, r), _) in enumerate(many):
-                lo, hi, base = state[(ci, r)]
+            for j, ((ci, r), m) in enumerate(many):
+                lo, hi, base, _m = state[(ci, r)]
                 a_lo, a_hi = brackets[f"a{j}"]
                 k = r - base
-                if cnt[f"lt_lo{j}"] <= k < cnt[f"le_lo{j}"]:
+                le_lo, le_hi = cnt[f"le_lo{j}"], cnt[f"le_hi{j}"]
+                if cnt[f"lt_lo{j}"] <= k < le_lo:
                     found[(ci, r)] = a_lo
-                elif cnt[f"lt_hi{j}"] <= k < cnt[f"le_hi{j}"]:
+                elif cnt[f"lt_hi{j}"] <= k < le_hi:
                     found[(ci, r)] = a_hi
                 elif k < cnt[f"lt_lo{j}"]:
-                    state[(ci, r)] = [lo, a_lo, base]
+                    state[(ci, r)] = [lo, a_lo, base, le_lo]
                 elif k < cnt[f"lt_hi{j}"]:
-                    state[(ci, r)] = [a_lo, a_hi, base + cnt[f"le_lo{j}"]]
+                    state[(ci, r)] = [a_lo, a_hi, base + le_lo, le_hi - le_lo]
                 else:
-                    state[(ci, r)] = [a_hi, hi, base + cnt[f"le_hi{j}"]]
+                    state[(ci, r)] = [a_hi, hi, base + le_hi, m - le_hi]
     out: dict[tuple[str, float], float | None] = {}
     for ci, c in enumerate(cols):
         for p in probs:
