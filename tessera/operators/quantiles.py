@@ -70,14 +70,23 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                               and (hi is None or v["x"] <= hi))
                 found[(ci, r)] = vals[r - base]
         if many:
-            probes = []
+            # one sketch per distinct (column, band) carries every fraction asked of it
+            groups: dict[tuple, list] = {}
             for j, ((ci, r), m) in enumerate(many):
                 lo, hi, base, _m = state[(ci, r)]
                 f = (r - base + 0.5) / m
-                fr = [max(f - MARGIN, 0.0), min(f + MARGIN, 1.0)]
+                groups.setdefault((ci, lo, hi), []).append((j, [max(f - MARGIN, 0.0), min(f + MARGIN, 1.0)]))
+            probes = []
+            for g, ((ci, lo, hi), items) in enumerate(groups.items()):
+                fr = [v for _, pair in items for v in pair]
                 x_in = F.when(_band(ci, lo, hi), F.col("x"))
-                probes.append(F.approx_percentile(x_in, F.array(*[F.lit(v) for v in fr]), ACCURACY).alias(f"a{j}"))
-            brackets = long.agg(*probes).first()
+                probes.append(F.approx_percentile(x_in, F.array(*[F.lit(v) for v in fr]), ACCURACY).alias(f"g{g}"))
+            row = long.agg(*probes).first()
+            brackets = {}
+            for g, (_, items) in enumerate(groups.items()):
+                vals = row[f"g{g}"]
+                for i, (j, _) in enumerate(items):
+                    brackets[f"a{j}"] = (vals[2 * i], vals[2 * i + 1])
             counts = []
             for j, ((ci, r), _) in enumerate(many):
                 lo, hi = state[(ci, r)][:2]
