@@ -69,9 +69,12 @@ def news_clean(df: DataFrame, key: str, text: str = "text", date: str = "date")
 def word_lexicon(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text",
                  label: str = "quality", min_docs: int = 2) -> DataFrame:
     """A lexicon learnt by Spark from labelled documents: weight of a word = mean label
-    of the documents holding it minus the overall mean, clipped to [-1, 1]."""
+    of the documents holding it minus the overall mean, clipped to [-1, 1]. ``docs`` may
+    already hold a ``tokens`` column (then the text is not tokenized again)."""
     lab = docs.join(labels.select(key, label), key, "inner")
-    toks = tokens_of(lab, text).select(key, label, F.explode(F.array_distinct("tokens")).alias("word"))
+    if "tokens" not in lab.columns:
+        lab = tokens_of(lab, text)
+    toks = lab.select(key, label, F.explode(F.array_distinct("tokens")).alias("word"))
     base = labels.agg(F.avg(label).alias("__m"))
     w = toks.groupBy("word").agg(F.avg(label).alias("__a"), F.count(F.lit(1)).alias("__n")).filter(F.col("__n") >= min_docs)
     m = base.first()["__m"]
@@ -88,7 +91,8 @@ def score_texts(df: DataFrame, key: str, text: str = "text", lexicon: DataFrame
     if scorer is not None:
         udf = F.pandas_udf(scorer, "double")
         return df.withColumn(name, udf(F.col(text)))
-    t = tokens_of(df.select(key, text), text).withColumn("tokens", X.truncate_tokens(F.col("tokens"), max_tokens))
+    t = (df.select(key, "tokens") if "tokens" in df.columns else tokens_of(df.select(key, text), text))
+    t = t.withColumn("tokens", X.truncate_tokens(F.col("tokens"), max_tokens))
     ex = t.select(key, F.explode("tokens").alias("word"))
     s = ex.join(lexicon, "word", "inner").groupBy(key).agg(F.avg("weight").alias(name))
     return df.join(s, key, "left")

@@ -173,8 +173,11 @@ SELECT date, CAST(count(*) AS INT) AS n_news, round(avg(round(score, 6)), 6) AS
   md5(string_agg(coalesce(CAST(round(score, 6) AS VARCHAR), 'null'), '|' ORDER BY doc_id)) AS scores_md5
 FROM news LEFT JOIN sc USING (doc_id) GROUP BY date""")
 def q_daily_sentiment(spark, sf):
-    n = news(spark, sf)
-    s = TX.score_texts(n, "doc_id", lexicon=lexicon(spark, sf)).withColumn("score", F.round("score", 6))
+    # tokenize the corpus once; the lexicon and the scores both read these tokens
+    toks = TX.tokens_of(table(spark, sf, "documents").select("doc_id", "text"), "text").checkpoint(eager=True)
+    lex = TX.word_lexicon(toks, table(spark, sf, "labels"))
+    n = news(spark, sf).join(toks.select("doc_id", "tokens"), "doc_id")
+    s = TX.score_texts(n, "doc_id", lexicon=lex).drop("tokens").withColumn("score", F.round("score", 6))
     g = TX.daily_sentiment(s)
     return round_doubles(g.select("date", F.size("news_list").alias("n_news"), "mean_sentiment_score",
                                   F.md5(F.array_join(F.transform("sentiment_scores", lambda x: F.coalesce(
