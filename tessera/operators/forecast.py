@@ -36,6 +36,19 @@ def _unkey(df: DataFrame) -> DataFrame:
     return df.drop(ONE)
 
 
+def _attach(left: DataFrame, right: DataFrame, keys: list[str], keyed: bool) -> DataFrame:
+    """Per-key summary next to the rows: an equi-join on the keys; for one series the
+    summary is a single small row (coefficients, next regressors), read once and added
+    as literals, so no join on a constant key (a nested-loop join) is planned."""
+    if keyed:
+        return left.join(right, keys, "inner")
+    extra = [c for c in right.columns if c not in keys]
+    r = right.select(*extra).first()
+    if r is None:
+        return left.limit(0).withColumns({c: F.lit(None).cast(right.schema[c].dataType) for c in extra})
+    return left.withColumns({c: F.lit(r[c]).cast(right.schema[c].dataType) for c in extra})
+
+
 def dot(coef: Column, feats: Column) -> Column:
     return F.aggregate(F.zip_with(coef, feats, lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
 
@@ -52,18 +65,21 @@ def gbm_forecast(df: DataFrame, value: str, keys=(), order="date", z: float | No
     """FOR-01: ``S * exp((mu - sigma^2/2) + sigma * Z)``, rounded to 2. ``z`` fixes the draw
     (tests use 0); otherwise one seeded standard normal per series."""
     df, keys = _keyed(df, keys)
-    m = return_moments(df, value, keys, order)
-    last = last_row(df.select(*keys, *O._as_list(order), value), order, keys)
+    order_l = O._as_list(order)
+    r = O.log_return(df.select(*keys, *order_l, value), value, "__lr", keys=keys, order=order)
+    # moments and the last value in one aggregate: no join back to the rows
+    m = r.groupBy(*keys).agg(F.avg("__lr").alias("mu"), F.stddev_samp("__lr").alias("sigma"),
+                             F.max_by(F.col(value), F.struct(*[F.col(o) for o in order_l])).alias(value))
     draw = F.lit(float(z)) if z is not None else F.randn(seed)
     f = F.col(value) * F.exp((F.col("mu") - F.col("sigma") ** 2 / 2) + F.col("sigma") * draw)
-    j = last.join(m, keys, "inner")
-    return _unkey(j.select(*keys, F.lit(name).alias("name"), round_half_even(f, 2).alias("forecast")))
+    return _unkey(m.select(*keys, F.lit(name).alias("name"), round_half_even(f, 2).alias("forecast")))
 
 
 def ar_forecast(df: DataFrame, value: str, keys=(), order="date", p: int = 5,
                 name: str = "ARIMA") -> DataFrame:
     """FOR-02: ARIMA(p,1,0) without constant, conditional least squares on the first
     difference: regress d_t on d_{t-1..t-p}, forecast ``last + sum(phi_i d_{T+1-i})``."""
+    keyed = bool(list(keys))
     df, keys = _keyed(df, keys)
     d = O.difference(df.select(*keys, *O._as_list(order), value), value, "__d", keys, order)
     lagged = O.lag_matrix(d, "__d", p, keys, order, prefix="__dl")
@@ -72,7 +88,7 @@ def ar_forecast(df: DataFrame, value: str, keys=(), order="date", p: int = 5,
     coef = solve(g, keys, p).select(*keys, "coef")
     last = last_row(lagged, order, keys)
     nxt = F.array(F.col("__d"), *[F.col(f"__dl{i}") for i in range(1, p)])
-    j = last.join(coef, keys, "inner")
+    j = _attach(last, coef, keys, keyed)
     return _unkey(j.select(*keys, F.lit(name).alias("name"),
                            round_half_even(F.col(value) + dot(F.col("coef"), nxt), 2).alias("forecast")))
 
@@ -109,6 +125,7 @@ def trend_seasonal_forecast(df: DataFrame, value: str, keys=(), order="date", n_
     the normal equations; forecast at the next calendar day. The Gram matrix is one
     distributed pass; solve and next-day features run per key in numpy."""
     keys = list(keys)
+    keyed = bool(keys)
     order = O._as_list(order)[0]
     day = F.datediff(F.col(order).cast("date"), F.lit("1970-01-01").cast("date")).cast("double")
     span = df.groupBy(*keys).agg(F.min(day).alias("__t0"), F.max(day).alias("__t1"))
@@ -127,7 +144,7 @@ def trend_seasonal_forecast(df: DataFrame, value: str, keys=(), order="date", n_
     names = [f"__x{i}" for i in range(len(feats))]
     x = base.select(*keys, value, *[f.alias(n) for f, n in zip(feats, names)])
     p = len(names) + 1
-    g = gram(x, names, value, keys).join(span, keys, "inner")
+    g = _attach(gram(x, names, value, keys), span, keys, keyed)
     key_fields = [g.schema[c] for c in keys]
     schema = T.StructType(key_fields + [T.StructField("name", T.StringType()),
                                         T.StructField("forecast", T.DoubleType())])
@@ -155,6 +172,7 @@ def var_forecast(df: DataFrame, value: str, keys=(), order="date", max_lags: int
     lowest AIC = ln det(Sigma) + 2 k (k p + 1) / T on the common sample (t > max_lags);
     one-step forecast of the first component. One Gram matrix per key covers every
     order: each order is a sub-block of it."""
+    keyed = bool(list(keys))
     df, keys = _keyed(df, keys)
     order_l = O._as_list(order)
     base = df.select(*keys, *order_l, value).withColumn(
@@ -171,7 +189,7 @@ def var_forecast(df: DataFrame, value: str, keys=(), order="date", max_lags: int
     # next-step regressors: current values and the first max_lags - 1 lags
     nxt = F.array(*[c for i in range(max_lags) for c in (
         (F.col(value), F.col("__dow")) if i == 0 else (F.col(f"__v{i}"), F.col(f"__w{i}")))])
-    j = g.join(last.select(*keys, nxt.alias("__next")), keys, "inner")
+    j = _attach(g, last.select(*keys, nxt.alias("__next")), keys, keyed)
     k = 2
     q = 1 + k * max_lags + k
     key_fields = [j.schema[c] for c in keys]
