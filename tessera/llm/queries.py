@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import license_scan, merkle, mixing, packing, token_counts
+from . import langid, license_scan, merkle, mixing, packing, token_counts, toxicity, vectors
 from .common import table
 
 
@@ -14,6 +14,10 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.fingerprint_edits(table(spark, sf_dir, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.detect_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
@@ -26,11 +30,20 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.detect_languages(table(spark, sf_dir, "documents"))
+
+
+def op9_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.link_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_fingerprints, op4_token_counts, op5_packing, op6_license_scan, op10_mixing)}
+    f.__name__: f for f in (op1_fingerprints, op3_toxicity, op4_token_counts, op5_packing, op6_license_scan, op8_language,
+                            op9_vector_dedup, op10_mixing)}
 
 ORACLE: dict[str, str] = {"op10_mixing": mixing.mix_sql()}
