@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, license_scan, merkle, mixing, packing, token_counts, toxicity, vectors
+from . import langid, license_scan, merkle, mixing, near_dedup, packing, token_counts, toxicity, vectors
 from .common import table
 
 
@@ -14,6 +14,10 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.fingerprint_edits(table(spark, sf_dir, "documents"))
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.detect_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -43,7 +47,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_fingerprints, op3_toxicity, op4_token_counts, op5_packing, op6_license_scan, op8_language,
-                            op9_vector_dedup, op10_mixing)}
+    f.__name__: f for f in (op1_fingerprints, op2_near_dedup, op3_toxicity, op4_token_counts, op5_packing, op6_license_scan,
+                            op8_language, op9_vector_dedup, op10_mixing)}
 
 ORACLE: dict[str, str] = {"op10_mixing": mixing.mix_sql()}
