@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, license_scan, merkle, mixing, near_dedup, packing, token_counts, toxicity, vectors
+from . import langid, license_scan, merkle, mixing, near_dedup, packing, passages, token_counts, toxicity, vectors
 from .common import table
 
 
@@ -34,6 +34,10 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op7_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.detect_languages(table(spark, sf_dir, "documents"))
 
@@ -48,6 +52,6 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_fingerprints, op2_near_dedup, op3_toxicity, op4_token_counts, op5_packing, op6_license_scan,
-                            op8_language, op9_vector_dedup, op10_mixing)}
+                            op7_passages, op8_language, op9_vector_dedup, op10_mixing)}
 
 ORACLE: dict[str, str] = {"op10_mixing": mixing.mix_sql()}

@@ -25,14 +25,24 @@ def letters(digits: bool) -> np.ndarray:
     return np.fromiter((unicodedata.category(chr(c))[0] in kinds for c in range(sys.maxunicode + 1)), bool, sys.maxunicode + 1)
 
 
+@functools.cache
+def lower() -> np.ndarray:
+    """Lower case by code point, where it is a single one; so places in a text stay what they are."""
+    cases = (chr(c).lower() for c in range(sys.maxunicode + 1))
+    return np.fromiter((ord(x) if len(x) == 1 else c for c, x in enumerate(cases)), np.uint32, sys.maxunicode + 1)
+
+
 @dataclass
 class Words:
     """``row``: code points with boundaries; ``starts``: the boundary before each word, then the
-    last one; ``first``: the first word of each text, then the number of words."""
+    last one; ``first``: the first word of each text, then the number of words; ``begin`` and
+    ``end``: code points [begin, end) of each word in the texts joined by one character."""
 
     row: np.ndarray
     starts: np.ndarray
     first: np.ndarray
+    begin: np.ndarray
+    end: np.ndarray
 
     @property
     def count(self) -> int:
@@ -41,34 +51,18 @@ class Words:
 
 def words_of(texts: list[str], digits: bool = False) -> Words:
     """Lower-cased words of the texts, in order."""
-    joined = "\n".join(texts)
-    codes = np.frombuffer(joined.lower().encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    codes = np.frombuffer("\n".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     inside = letters(digits)[codes]
-    # lower() may change a text's length, so texts are told apart by the line ends that join them
-    sizes = np.fromiter((len(t.lower()) + 1 for t in texts), np.int64, len(texts)) if not joined.isascii() else \
-        np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))
-    before = np.empty(len(inside), bool)
-    before[:1] = False
-    before[1:] = inside[:-1]
-    begins = np.flatnonzero(inside & ~before)
-    ends_at = before & ~inside  # the slot behind a word becomes a boundary
-    keep = inside | ends_at
-    kept = codes[keep]
-    kept[ends_at[keep]] = 0
-    row = np.empty(len(kept) + 2, np.uint32)
-    row[0] = 0
-    row[1:-1] = kept
-    if len(inside) and inside[-1]:
-        row[-1] = 0
-    else:
-        row = row[:-1]
-    starts = np.flatnonzero(row == 0)
-    if not len(begins):
-        row, starts = np.zeros(1, np.uint32), np.zeros(1, np.int64)
-    text_begins = np.concatenate([[0], np.cumsum(sizes)])
-    first = np.searchsorted(begins, text_begins)
-    first[-1] = len(begins)
-    return Words(row, starts, first)
+    edge = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+    begin, end = edge[::2], edge[1::2]
+    starts = np.concatenate([[0], np.cumsum(end - begin + 1)])
+    row = np.zeros(int(starts[-1]) + 1, np.uint32)
+    letter = np.ones(len(row), bool)
+    letter[starts] = False
+    row[letter] = lower()[codes[inside]]
+    first = np.searchsorted(begin, np.concatenate([[0], np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)]))
+    first[-1] = len(begin)
+    return Words(row, starts, first, begin, end)
 
 
 def ngrams(words: Words, n: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -133,4 +127,4 @@ def distinct(words: Words) -> tuple[Words, np.ndarray, np.ndarray]:
     starts = np.concatenate([[0], np.cumsum(size)])
     row = np.zeros(int(starts[-1]) + 1, np.uint32)
     row[:-1] = words.row[np.arange(starts[-1]) + np.repeat(begin - starts[:-1], size)]
-    return Words(row, starts, np.array([0, len(at)])), code, place
+    return Words(row, starts, np.array([0, len(at)]), words.begin[at], words.end[at]), code, place

@@ -173,6 +173,20 @@ def score_toxicity(docs: DataFrame, model: Model, threshold: float = 0.7, id_col
     return rows.mapInArrow(run, f"doc_id {kind}, score double, predicted int")
 
 
+def drop_toxic(docs: DataFrame, model: Model, threshold: float = 0.7, text_col: str = "text",
+               slice_bytes: int = 1 << 21) -> DataFrame:
+    """The rows of ``docs`` that score below ``threshold``, with all their columns, in one pass."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    limit = float(np.log(threshold / (1 - threshold)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches, text_col, slice_bytes):
+            texts = [t or "" for t in batch.column(text_col).to_pylist()]
+            yield batch.filter(pa.array(margins(shared.value, texts) < limit))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def fit_toxicity(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", max_rows: int = 3000,
                  longest: int = 3000, **options) -> Model:
     """Trains on a bounded sample of the labelled rows (see ``labelled_sample``): at most ``2 * max_rows``
