@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 from .common import clean_text, materialize, sliced
 
 UNITS = re.compile(r"\s*\S+|\s+")
-#: blanks that cannot be cut plainly, and control characters on whose kind the libraries differ
-IRREGULAR = re.compile(r"^\s|\s$|\s\s|[\x1c-\x1f]")
+#: white space other than blank and line feed; the libraries differ on the kind of the first four
+OTHER_SPACE = re.compile("[\x1c-\x1f\t\x0b-\x0d\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 UNSURE = re.compile(r"[\x1c-\x1f]")
 
 
@@ -40,7 +40,7 @@ class UnitEncoder:
     cut in front of any run of white space that follows another character. The distinct units
     are encoded by the tokenizers library in batches and kept in a bounded dictionary."""
 
-    def __init__(self, path: str, batch: int = 4096, keep: int = 600_000, longest: int = 64):
+    def __init__(self, path: str, batch: int = 4096, keep: int = 900_000, longest: int = 64):
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -49,11 +49,15 @@ class UnitEncoder:
         self.known: dict[str, bytes] = {}   # of units as they stand
         self.spaced: dict[str, bytes] = {}  # of words that follow a blank
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def encode(self, units: list[str]) -> list[bytes]:
+        """Ids of each unit; a batch of units is one call, told apart by the unit each token is of."""
         out: list[bytes] = []
-        for i in range(0, len(texts), self.batch):
-            found = self.model.encode_batch_fast(texts[i:i + self.batch], add_special_tokens=False)
-            out += [np.asarray(e.ids, dtype="<u4").tobytes() for e in found]
+        for i in range(0, len(units), self.batch):
+            batch = units[i:i + self.batch]
+            found = self.model.encode(batch, is_pretokenized=True, add_special_tokens=False)
+            ids = np.asarray(found.ids, dtype="<u4").tobytes()
+            cuts = (4 * np.searchsorted(np.asarray(found.word_ids, dtype=np.int64), np.arange(len(batch) + 1))).tolist()
+            out += [ids[x:y] for x, y in zip(cuts, cuts[1:])]
         return out
 
     def _fill(self, known: dict[str, bytes], wanted: set[str], before: str) -> list[str]:
@@ -70,9 +74,9 @@ class UnitEncoder:
         for text in texts:
             if not text:
                 plain.append(([], []))
-            elif not IRREGULAR.search(text):
-                first, *rest = text.split(" ")
-                plain.append(([first], rest))
+            elif "  " not in text and "\n " not in text and not OTHER_SPACE.search(text):
+                rest = text.split(" ")  # a blank is cut off what stands before it, which is no space
+                plain.append(([rest.pop(0)], rest))
             elif UNSURE.search(text):
                 plain.append(([text], []))
             else:

@@ -41,6 +41,14 @@ def test_ids_equal_whole_encoding(vocabulary, texts):
     assert [np.frombuffer(x, "<u4").tolist() for x in got] == want
 
 
+def test_special_strings_and_blanks(vocabulary, model):
+    texts = ["<|endoftext|>", "a<|endoftext|>b <|endoftext|> c", " lead", "trail ", "a\n b", "a \nb", "a\xa0 \xa0b", "\n\n a  b", "\x1c <|endoftext|>"]
+    want = [vocabulary.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(x, "<u4").tolist() for x in packing.encoder(packing.default_vocabulary()).ids(texts)] == want
+    texts += ["<s> </s><unk>", "▁ ▁", " "]
+    assert token_counts.counter(token_counts.default_model()).counts(texts) == [len(model.encode(t)) for t in texts]
+
+
 def test_token_counts_query(spark, model):
     docs = docs_frame(spark, AWKWARD)
     got = sorted((r.n_bytes, r.n_tokens, r.over_limit) for r in token_counts.count_tokens(docs).collect())
