@@ -74,7 +74,7 @@ def margins(model: Model, texts: list[str]) -> np.ndarray:
     return out + model.bias
 
 
-def train(texts: list[str], labels: np.ndarray, bits: int = 17, dims: int = 8, window: int = 4, updates: int = 500,
+def train(texts: list[str], labels: np.ndarray, bits: int = 17, dims: int = 8, window: int = 3, updates: int = 500,
           whole: float = 0.3, batch: int = 256, rate: float = 0.15, seed: int = 7) -> Model:
     """Joint training of the n-gram vectors and the softmax. Deterministic for equal input.
 
