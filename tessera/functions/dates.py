@@ -31,9 +31,11 @@ def published_date(text: Column) -> Column:
 
 
 def parse_date_coerce(c: Column, formats: Sequence[str] = MIXED_FORMATS) -> Column:
-    """CST-02: first format that parses; none gives null."""
+    """CST-02: an ISO stamp (fractions of a second and zone allowed), else the first format that
+    parses; none gives null."""
     s = F.trim(c.cast("string"))
-    return F.coalesce(*[F.try_to_timestamp(s, F.lit(f)) for f in formats]).cast("date")
+    stamp = F.when(s.rlike(r"^\d{4}-\d{2}-\d{2}[T ]\d"), F.try_to_timestamp(s))
+    return F.coalesce(stamp, *[F.try_to_timestamp(s, F.lit(f)) for f in formats]).cast("date")
 
 
 def format_date(c: Column, fmt: str = ISO_DATE) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -16,19 +17,21 @@ KS_TERMS = 100
 def kolmogorov_sf(z: Column, terms: int = KS_TERMS) -> Column:
     """Survival function of the Kolmogorov distribution (asymptotic two-sample p):
     ``2 * sum_{k>=1} (-1)^(k-1) exp(-2 k^2 z^2)``, clipped to [0, 1]; 1 at z = 0."""
-    s = F.lit(0.0)
-    for k in range(1, terms + 1):
-        s = s + F.lit(2.0 * (-1) ** (k - 1)) * F.exp(F.lit(-2.0 * k * k) * z * z)
+    def term(total: Column, k: Column) -> Column:
+        sign = F.when(k % 2 == 1, F.lit(2.0)).otherwise(F.lit(-2.0))
+        return total + sign * F.exp(F.lit(-2.0) * k * k * z * z)
+
+    s = F.aggregate(F.sequence(F.lit(1), F.lit(terms)), F.lit(0.0), term)
     return F.when(z <= 0, F.lit(1.0)).otherwise(F.least(F.greatest(s, F.lit(0.0)), F.lit(1.0)))
 
 
 def ks_statistics(a: DataFrame, b: DataFrame, cols: Sequence[str] | None = None, keys: Sequence[str] = (),
                   buckets: int = 1024) -> DataFrame:
-    """DRF-01: two-sample Kolmogorov-Smirnov per common numeric column (nulls dropped):
-    ``D = max |F_a - F_b|`` over the distinct values, p by the asymptotic series with
+    """DRF-01: two-sample Kolmogorov-Smirnov per common numeric column (nulls and NaN
+    dropped): ``D = max |F_a - F_b|`` over the distinct values, p by the asymptotic series with
     ``en = n_a n_b / (n_a + n_b)``. Values are counted per (column, value) first, then
-    cumulated inside equal-width value ranges with a carry between ranges, so no
-    column's values ever sit in one task."""
+    cumulated inside ranges cut at the quantiles of the distinct values, with a carry
+    between ranges; so neither a heavy tail nor an outlier crowds a range."""
     keys = list(keys)
     cols = list(cols) if cols else [c for c in numeric_columns(a) if c in set(numeric_columns(b)) and c not in keys]
 
@@ -36,7 +39,7 @@ def ks_statistics(a: DataFrame, b: DataFrame, cols: Sequence[str] | None = None,
         st = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("double").alias("value"))
                                  for c in cols]))
         return (df.select(*keys, st.alias("__u"))
-                .select(*keys, "__u.column", "__u.value").filter(F.col("value").isNotNull())
+                .select(*keys, "__u.column", "__u.value").filter(F.col("value").isNotNull() & ~F.isnan("value"))
                 .withColumn("side", F.lit(side)))
 
     u = long(a, "a").unionByName(long(b, "b"))
@@ -44,11 +47,15 @@ def ks_statistics(a: DataFrame, b: DataFrame, cols: Sequence[str] | None = None,
         F.sum((F.col("side") == "a").cast("long")).alias("ca"),
         F.sum((F.col("side") == "b").cast("long")).alias("cb"))
     kc = keys + ["column"]
-    span = counts.groupBy(*kc).agg(F.min("value").alias("__lo"), F.max("value").alias("__hi"),
+    step = math.isqrt(buckets)
+    fractions = F.array(*(F.lit(k / buckets) for k in range(1, buckets)))
+    span = counts.groupBy(*kc).agg(F.percentile_approx("value", fractions, F.lit(10 * buckets)).alias("__cuts"),
                                    F.sum("ca").alias("na"), F.sum("cb").alias("nb"))
+    span = span.withColumn("__heads", F.filter("__cuts", lambda x, i: i % step == 0))
     c2 = counts.join(span, kc, "inner")
-    width = F.greatest((F.col("__hi") - F.col("__lo")) / F.lit(float(buckets)), F.lit(1e-300))
-    c2 = c2.withColumn(O.BKT, F.least(F.floor((F.col("value") - F.col("__lo")) / width), F.lit(buckets - 1)))
+    part = F.size(F.filter("__heads", lambda x: x <= F.col("value")))
+    inner = F.size(F.filter(F.slice("__cuts", F.greatest((part - 1) * step, F.lit(0)) + 1, F.lit(step)), lambda x: x <= F.col("value")))
+    c2 = c2.withColumn(O.BKT, F.when(part == 0, 0).otherwise((part - 1) * step + inner)).drop("__cuts", "__heads")
     cum = _running_sums(c2, ["ca", "cb"], kc, "value")
     diff = F.abs(F.col("ca_cum") / F.col("na") - F.col("cb_cum") / F.col("nb"))
     d = cum.groupBy(*kc).agg(F.max(diff).alias("d"), F.first("na").alias("n_a"), F.first("nb").alias("n_b"))
@@ -78,21 +85,24 @@ def ks_drift(a: DataFrame, b: DataFrame, cols=None, keys=(), threshold: float =
 
 def model_drift(previous: DataFrame, current: DataFrame, keys: Sequence[str] = ("series",),
                 metric: str = "test_adjusted_r2", threshold: float = 0.05) -> DataFrame:
-    """DRF-02: previous minus current metric > threshold; a missing value gives False."""
+    """DRF-02: previous minus current metric > threshold; a missing value or NaN gives False."""
     keys = list(keys)
     j = previous.select(*keys, F.col(metric).alias("__prev")).join(
         current.select(*keys, F.col(metric).alias("__cur")), keys, "full")
-    drop = F.col("__prev") - F.col("__cur")
+    drop = F.nanvl(F.col("__prev") - F.col("__cur"), F.lit(None).cast("double"))
     return j.select(*keys, drop.alias("drop"), F.coalesce(drop > threshold, F.lit(False)).alias("model_drift"))
 
 
 def score_gate(metrics: DataFrame, keys: Sequence[str] = ("series",), splits=("train", "val", "test"),
                threshold: float = 0.9) -> DataFrame:
-    """DRF-03: R2 and adjusted R2 >= threshold in every split; a missing score counts 0.
+    """DRF-03: R2 and adjusted R2 >= threshold in every split; a missing score or NaN counts 0.
     ``metrics`` is long: keys, split, r2, adjusted_r2."""
     keys = list(keys)
     need = metrics.filter(F.col("split").isin(list(splits)))
-    ok = (F.coalesce(F.col("r2"), F.lit(0.0)) >= threshold) & (F.coalesce(F.col("adjusted_r2"), F.lit(0.0)) >= threshold)
+    def given(c: str) -> Column:
+        return F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(0.0)), F.lit(0.0))
+
+    ok = (given("r2") >= threshold) & (given("adjusted_r2") >= threshold)
     g = need.groupBy(*keys).agg(F.bool_and(ok).alias("__all"), F.countDistinct("split").alias("__n"))
     return g.select(*keys, (F.col("__all") & (F.col("__n") == len(splits))).alias("score_gate"))
 

@@ -1,6 +1,6 @@
-"""Distributed normal equations: per-key sums ``n, X'X, X'y, y'y`` built from partial
-sums of each Arrow batch (numpy inside the task) and merged by a Spark aggregation.
-Only the p x p summaries per key are ever combined; rows never leave their task."""
+"""Distributed normal equations: per-key sums ``n, X'X, X'y, y'y``. Every task adds up its
+batches with numpy and sends one row per key; the entries are summed map-side by key and place,
+so what meets in one task is p x p numbers a key, however many tasks there are."""
 
 from __future__ import annotations
 
@@ -22,44 +22,35 @@ def gram(df: DataFrame, features: Sequence[str], label: str | None = None,
     p = len(features) + (1 if intercept else 0)
     lab = label
     key_fields = [df.schema[k] for k in keys]
-    schema = T.StructType(key_fields + [
-        T.StructField("n", T.LongType()),
-        T.StructField("xtx", T.ArrayType(T.DoubleType())),
-        T.StructField("xty", T.ArrayType(T.DoubleType())),
-        T.StructField("yty", T.DoubleType()),
-        T.StructField("xsum", T.ArrayType(T.DoubleType())),
-    ])
     cols = keys + features + ([lab] if lab else [])
     src = df.select(*[F.col(f"`{c}`") for c in cols]).na.drop(subset=features + ([lab] if lab else []))
 
     def partial(it):
+        sums: dict[tuple, np.ndarray] = {}  # a task sends one row for each of its keys
         for pdf in it:
             if pdf.empty:
                 continue
             groups = pdf.groupby(keys, sort=False, dropna=False) if keys else [((), pdf)]
-            rows = []
             for k, g in groups:
                 x = g[features].to_numpy(dtype=float)
                 if intercept:
                     x = np.hstack([np.ones((len(x), 1)), x])
                 y = g[lab].to_numpy(dtype=float) if lab else np.zeros(len(x))
-                k = k if isinstance(k, tuple) else (k,)
-                rows.append(list(k[:len(keys)]) + [len(x), (x.T @ x).ravel().tolist(), (x.T @ y).tolist(),
-                                                    float(y @ y), x.sum(axis=0).tolist()])
-            yield pd.DataFrame(rows, columns=keys + ["n", "xtx", "xty", "yty", "xsum"])
+                own = np.concatenate([[len(x)], (x.T @ x).ravel(), x.T @ y, [y @ y], x.sum(axis=0)])
+                k = tuple(None if v != v else v for v in (k if isinstance(k, tuple) else (k,))[:len(keys)])
+                sums[k] = sums[k] + own if k in sums else own
+        if sums:
+            yield pd.DataFrame([[*k, v.tolist()] for k, v in sums.items()], columns=[*keys, "__v"])
 
-    parts = src.mapInPandas(partial, schema)
-
-    def add(a, b):
-        return F.zip_with(a, b, lambda u, v: u + v)
-
-    def arr_sum(c, size):
-        zero = F.array_repeat(F.lit(0.0), size)
-        return F.aggregate(F.collect_list(c), zero, add)
-
-    return parts.groupBy(*keys).agg(F.sum("n").alias("n"), arr_sum("xtx", p * p).alias("xtx"),
-                                    arr_sum("xty", p).alias("xty"), F.sum("yty").alias("yty"),
-                                    arr_sum("xsum", p).alias("xsum"))
+    parts = src.mapInPandas(partial, T.StructType([*key_fields, T.StructField("__v", T.ArrayType(T.DoubleType()))]))
+    entries = (parts.select(*keys, F.posexplode("__v").alias("__i", "__x"))
+               .groupBy(*keys, "__i").agg(F.sum("__x").alias("__x")))
+    whole = entries.groupBy(*keys).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("__i", "__x"))), lambda e: e["__x"]).alias("__v"))
+    v = F.col("__v")
+    return whole.select(
+        *keys, v[0].cast("long").alias("n"), F.slice(v, 2, p * p).alias("xtx"), F.slice(v, 2 + p * p, p).alias("xty"),
+        v[1 + p * p + p].alias("yty"), F.slice(v, 3 + p * p + p, p).alias("xsum"))
 
 
 def solve(g: DataFrame, keys: Sequence[str], p: int, ridge: float | Sequence[float] = 0.0,

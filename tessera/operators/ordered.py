@@ -2,22 +2,25 @@
 
 Every operator takes ``keys`` (may be empty) and ``order`` (column name or list; the
 first one drives the bucket, the rest break ties). Rows are windowed inside
-``keys + [bucket(order)]`` so one task never holds more than one key's bucket
-(a calendar month by default), however long the series or however skewed the keys.
-What crosses a bucket edge is carried by a small per-bucket summary:
+``keys + [bucket(order)]``. By default buckets are cut by row count: the quantiles of the
+ordering value split the table into stretches of about ``ROWS`` rows, and a value that alone
+holds more is split by the second ordering column, so neither a dense month nor a hot
+date ends in one task. What crosses a bucket edge is carried by a small per-bucket summary:
 
 * lag / lead: local ``lag``/``lead``; the few rows at a bucket edge are fixed up from
   the edge rows of the neighbour buckets, matched by global position.
-* back-fill: local ``first(ignorenulls)``; the rest comes from the first non-null of
-  the later buckets.
+* back-fill: a running ``last(ignorenulls)`` in descending order (linear); the rest comes
+  from the first non-null of the later buckets.
 * running counts: local running sum plus the exclusive prefix sum of bucket totals.
 
-Summaries have one row per (key, bucket). They are joined normally, so adaptive
-execution broadcasts them when they are small and shuffles them when they are not.
+Summaries have one row per (key, bucket). They are joined null-safely (a null key or a null
+ordering value is a value of its own, nulls first), so adaptive execution broadcasts
+them when they are small and shuffles them when they are not.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -32,7 +35,9 @@ START = "__start"
 END = "__end"
 TOTAL = "__total"
 
-DEFAULT_BUCKET = "month"
+#: rows a bucket holds, and the most buckets that are cut (their bounds go to the driver)
+ROWS = 100_000
+MOST_BUCKETS = 10_000
 
 
 def _as_list(x) -> list[str]:
@@ -43,26 +48,91 @@ def _as_list(x) -> list[str]:
     return list(x)
 
 
-def bucket_column(df: DataFrame, order: str, bucket=DEFAULT_BUCKET) -> Column:
-    """Bucket of the ordering value. ``bucket`` is a Column, a date granularity
+def _number(df: DataFrame, order: str) -> Column | None:
+    """The ordering value as a number that ascends with it; None for kinds without one."""
+    dtype = df.schema[order].dataType
+    if isinstance(dtype, T.DateType):
+        return F.unix_date(order).cast("double")
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(F.col(order).cast("timestamp")).cast("double")
+    if isinstance(dtype, T.NumericType):
+        return F.col(order).cast("double")
+    if isinstance(dtype, T.StringType):
+        return F.unix_micros(F.try_to_timestamp(F.col(order))).cast("double")
+    return None
+
+
+def _place(value: Column, bounds: list[float]) -> Column:
+    """Number of ascending bounds at or below ``value``, in two short steps instead of one long one."""
+    size = max(1, math.isqrt(len(bounds)))
+    parts = [bounds[i:i + size] for i in range(0, len(bounds), size)]
+    heads = F.array(*(F.lit(p[0]) for p in parts))
+    table = F.array(*(F.array(*map(F.lit, p)) for p in parts))
+    part = F.size(F.filter(heads, lambda x: x <= value))
+    inside = F.size(F.filter(F.try_element_at(table, part), lambda x: x <= value))
+    return F.when(value.isNull() | (part == 0), 0).otherwise((part - 1) * size + inside)
+
+
+def _quantiles(df: DataFrame, value: Column, parts: int) -> list[float]:
+    got = df.agg(F.percentile_approx(value, F.array(*(F.lit(k / parts) for k in range(1, parts))), F.lit(50 * parts))).first()[0]
+    return [x for x in got or [] if x == x]
+
+
+def row_buckets(df: DataFrame, order, rows: int = ROWS) -> Column:
+    """Bucket by row count, ascending with ``order``. Reads the ordering columns once (twice if a
+    single value of the first one holds more than ``rows``); at most ``MOST_BUCKETS`` bounds
+    come to the driver. Compute it once and hand it to several operators of one table."""
+    order = _as_list(order)
+    value = _number(df, order[0])
+    if value is None:
+        return F.lit(0)
+    parts = min(MOST_BUCKETS, math.ceil(df.count() / rows))
+    if parts < 2:
+        return F.lit(0)
+    cuts = _quantiles(df, value, parts)
+    bounds = sorted(set(cuts))
+    bucket = _place(value, bounds) if bounds else F.lit(0)
+    hot = [x for x in bounds if cuts.count(x) > 1]
+    second = _number(df, order[1]) if hot and len(order) > 1 else None
+    if second is None:
+        return bucket
+    inner = F.lit(0)
+    for x in hot:
+        own = sorted(set(_quantiles(df.filter(value == x), second, cuts.count(x) + 1)))
+        if own:
+            inner = F.when(value == x, _place(second, own)).otherwise(inner)
+    return bucket * (MOST_BUCKETS + 1) + inner
+
+
+def bucket_column(df: DataFrame, order, bucket=None) -> Column:
+    """Bucket of the ordering value. ``bucket`` is None (by row count), a Column, a date granularity
     ('year', 'quarter', 'month', 'week', 'day', 'hour') or, for numeric orders, a width."""
     if isinstance(bucket, Column):
         return bucket
-    dtype = df.schema[order].dataType
+    if bucket is None:
+        return row_buckets(df, order)
+    first = _as_list(order)[0]
+    dtype = df.schema[first].dataType
     if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-        unit = bucket if isinstance(bucket, str) else DEFAULT_BUCKET
-        return F.date_trunc(unit, F.col(order))
+        return F.date_trunc(bucket, F.col(first))
     if isinstance(dtype, T.StringType):
-        unit = bucket if isinstance(bucket, str) else DEFAULT_BUCKET
-        return F.date_trunc(unit, F.try_to_timestamp(F.col(order)))
-    width = bucket if isinstance(bucket, (int, float)) else 4096
-    return F.floor(F.col(order) / F.lit(width))
+        return F.date_trunc(bucket, F.try_to_timestamp(F.col(first)))
+    return F.floor(F.col(first) / F.lit(bucket))
 
 
-def with_bucket(df: DataFrame, order, bucket=DEFAULT_BUCKET) -> DataFrame:
+def with_bucket(df: DataFrame, order, bucket=None) -> DataFrame:
     if BKT in df.columns:
         return df
-    return df.withColumn(BKT, bucket_column(df, _as_list(order)[0], bucket))
+    return df.withColumn(BKT, bucket_column(df, order, bucket))
+
+
+def _join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
+    """Join by columns where null equals null; the right side's columns of that name go."""
+    other = right.select(*[F.col(c).alias(f"__on{i}") for i, c in enumerate(on)], *[c for c in right.columns if c not in on])
+    cond = F.lit(True)
+    for i, c in enumerate(on):
+        cond = cond & F.col(c).eqNullSafe(F.col(f"__on{i}"))
+    return left.join(other, cond, how).drop(*[f"__on{i}" for i in range(len(on))])
 
 
 def _local_window(keys, order):
@@ -95,19 +165,19 @@ def _numbered(df: DataFrame, keys, order, bucket, extra: dict | None = None) ->
                          **(extra or {})})
 
 
-def positions(df: DataFrame, keys=(), order="date", bucket=DEFAULT_BUCKET,
+def positions(df: DataFrame, keys=(), order="date", bucket=None,
               with_total: bool = False) -> DataFrame:
     """Adds ``__pos``: 1-based row number within the key in ``order`` (and ``__total``)."""
     keys, order = _as_list(keys), _as_list(order)
     src = [c for c in df.columns if c != BKT]
     d1 = _numbered(df, keys, order, bucket)
-    out = (d1.join(_starts(d1, keys, with_total), keys + [BKT], "left")
+    out = (_join(d1, _starts(d1, keys, with_total), keys + [BKT])
            .withColumn(POS, (F.col(START) + F.col(RN) - 1).cast("long")))
     return out.select(*src, POS, *([TOTAL] if with_total else []))
 
 
 def shift(df: DataFrame, specs: dict[str, tuple[str, int]], keys=(), order="date",
-          bucket=DEFAULT_BUCKET) -> DataFrame:
+          bucket=None) -> DataFrame:
     """Adds one column per spec ``name -> (source, k)``: the source value k rows before
     (k > 0, lag) or -k rows after (k < 0, lead), per key in ``order``.
 
@@ -132,7 +202,7 @@ def shift(df: DataFrame, specs: dict[str, tuple[str, int]], keys=(), order="date
     def crosses(k):
         return (F.col(RN) <= k) if k > 0 else (F.col(RN) > F.col(CNT) + k)
 
-    small = (d1.filter(edge | source).join(_starts(d1, keys), part)
+    small = (_join(d1.filter(edge | source), _starts(d1, keys), part)
              .withColumn(POS, F.col(START) + F.col(RN) - 1))
     pw = Window.partitionBy(*keys).orderBy(POS)
     fixed = small.withColumns({
@@ -142,16 +212,16 @@ def shift(df: DataFrame, specs: dict[str, tuple[str, int]], keys=(), order="date
     return d1.filter(~edge).select(*out_cols).unionByName(fixed.select(*out_cols))
 
 
-def lag(df, col, k=1, name=None, keys=(), order="date", bucket=DEFAULT_BUCKET):
+def lag(df, col, k=1, name=None, keys=(), order="date", bucket=None):
     return shift(df, {name or f"{col}_lag{k}": (col, k)}, keys, order, bucket)
 
 
-def lead(df, col, k=1, name=None, keys=(), order="date", bucket=DEFAULT_BUCKET):
+def lead(df, col, k=1, name=None, keys=(), order="date", bucket=None):
     return shift(df, {name or f"{col}_lead{k}": (col, -k)}, keys, order, bucket)
 
 
 def backfill(df: DataFrame, cols: Sequence[str] | None = None, keys=(), order="date",
-             bucket=DEFAULT_BUCKET) -> DataFrame:
+             bucket=None) -> DataFrame:
     """WIN-04: a null takes the next non-null value in ``order``; trailing nulls stay.
     The first row of each bucket, after the local fill, holds the bucket's first
     non-null; later buckets pass it back through a window over those rows only."""
@@ -159,19 +229,21 @@ def backfill(df: DataFrame, cols: Sequence[str] | None = None, keys=(), order="d
     cols = [c for c in (cols or df.columns) if c not in keys + order + [BKT]]
     src_cols = [c for c in df.columns if c != BKT]
     part = keys + [BKT]
-    after = _local_window(keys, order).rowsBetween(0, Window.unboundedFollowing)
-    local = _numbered(df, keys, order, bucket,
-                      {c: F.first(c, ignorenulls=True).over(after) for c in cols})
-    later = Window.partitionBy(*keys).orderBy(BKT).rowsBetween(1, Window.unboundedFollowing)
-    carry = local.filter(F.col(RN) == 1).select(
-        *part, *[F.first(c, ignorenulls=True).over(later).alias(f"__n{i}") for i, c in enumerate(cols)])
-    out = local.join(carry, part, "left").withColumns(
+    down = [F.col(c).desc_nulls_last() for c in order]
+    after = Window.partitionBy(*part).orderBy(*down).rowsBetween(Window.unboundedPreceding, 0)
+    local = with_bucket(df, order, bucket).withColumns({
+        RN: F.row_number().over(Window.partitionBy(*part).orderBy(*down)), CNT: F.count(F.lit(1)).over(Window.partitionBy(*part)),
+        **{c: F.last(c, ignorenulls=True).over(after) for c in cols}})
+    later = Window.partitionBy(*keys).orderBy(F.col(BKT).desc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    carry = local.filter(F.col(RN) == F.col(CNT)).select(
+        *part, *[F.last(c, ignorenulls=True).over(later).alias(f"__n{i}") for i, c in enumerate(cols)])
+    out = _join(local, carry, part).withColumns(
         {c: F.coalesce(F.col(c), F.col(f"__n{i}")) for i, c in enumerate(cols)})
     return out.select(*src_cols)
 
 
 def running_count(df: DataFrame, cond: Column, name: str, keys=(), order="date",
-                  inclusive: bool = False, bucket=DEFAULT_BUCKET) -> DataFrame:
+                  inclusive: bool = False, bucket=None) -> DataFrame:
     """Number of earlier rows (``inclusive`` adds the current one) of the key where
     ``cond`` holds; a prefix count carried across buckets."""
     keys, order = _as_list(keys), _as_list(order)
@@ -185,7 +257,7 @@ def running_count(df: DataFrame, cond: Column, name: str, keys=(), order="date",
     carry = (d1.filter(F.col(RN) == F.col(CNT))
              .select(*part, F.coalesce(F.sum("__incl").over(before), F.lit(0)).alias("__carry")))
     own = F.col("__incl") if inclusive else F.col("__incl") - F.col("__hit")
-    out = (d1.join(carry, part, "left")
+    out = (_join(d1, carry, part)
            .withColumn(name, (own + F.col("__carry")).cast("long")))
     return out.select(*src_cols, name)
 
@@ -193,7 +265,7 @@ def running_count(df: DataFrame, cond: Column, name: str, keys=(), order="date",
 # ---------------------------------------------------------------- named operators
 
 def pct_change(df: DataFrame, cols: Sequence[str], keys=(), order="date", suffix="_pct_chg",
-               bucket=DEFAULT_BUCKET) -> DataFrame:
+               bucket=None) -> DataFrame:
     """WIN-01: ``(x / previous - 1) * 100`` per column; division by zero gives null."""
     prev = {f"__prev_{c}": (c, 1) for c in cols}
     out = shift(df, prev, keys, order, bucket)
@@ -203,7 +275,7 @@ def pct_change(df: DataFrame, cols: Sequence[str], keys=(), order="date", suffix
 
 
 def log_return(df: DataFrame, col: str, name: str | None = None, keys=(), order="date",
-               bucket=DEFAULT_BUCKET) -> DataFrame:
+               bucket=None) -> DataFrame:
     """WIN-03: ``ln(x / previous)``; non-positive ratios give null."""
     name = name or f"{col}_log_ret"
     out = shift(df, {"__prev": (col, 1)}, keys, order, bucket)
@@ -212,7 +284,7 @@ def log_return(df: DataFrame, col: str, name: str | None = None, keys=(), order=
 
 
 def difference(df: DataFrame, col: str, name: str | None = None, keys=(), order="date",
-               bucket=DEFAULT_BUCKET) -> DataFrame:
+               bucket=None) -> DataFrame:
     """WIN-09: first difference."""
     name = name or f"{col}_diff"
     out = shift(df, {"__prev": (col, 1)}, keys, order, bucket)
@@ -220,26 +292,26 @@ def difference(df: DataFrame, col: str, name: str | None = None, keys=(), order=
 
 
 def lead_target(df: DataFrame, source: str, target: str = "target", keys=(), order="date",
-                bucket=DEFAULT_BUCKET) -> DataFrame:
+                bucket=None) -> DataFrame:
     """WIN-02: target = next row's source; the last row keeps a null target."""
     return shift(df, {target: (source, -1)}, keys, order, bucket)
 
 
 def lag_matrix(df: DataFrame, col: str, p: int, keys=(), order="date", prefix=None,
-               bucket=DEFAULT_BUCKET) -> DataFrame:
+               bucket=None) -> DataFrame:
     """WIN-08: p lags of a series as columns ``<col>_lag1..p``."""
     prefix = prefix or f"{col}_lag"
     return shift(df, {f"{prefix}{i}": (col, i) for i in range(1, p + 1)}, keys, order, bucket)
 
 
 def row_index(df: DataFrame, name: str = "row_index", keys=(), order="date",
-              bucket=DEFAULT_BUCKET) -> DataFrame:
+              bucket=None) -> DataFrame:
     """WIN-06: 1-based row number in order, per key, without a single-partition window."""
     return positions(df, keys, order, bucket).withColumnRenamed(POS, name)
 
 
 def chronological_split(df: DataFrame, keys=(), order="date", ratios=(0.6, 0.2, 0.2),
-                        name: str = "split", bucket=DEFAULT_BUCKET) -> DataFrame:
+                        name: str = "split", bucket=None) -> DataFrame:
     """WIN-07: first ``int(n*r0)`` rows train, next ``int(n*r1)`` val, the rest test."""
     if abs(sum(ratios) - 1.0) > 1e-5:
         raise ValueError(f"split ratios must sum to 1, got {ratios}")
@@ -253,7 +325,7 @@ def chronological_split(df: DataFrame, keys=(), order="date", ratios=(0.6, 0.2,
 
 
 def gap_segment_average(df: DataFrame, score: str, price: str, name: str | None = None,
-                        keys=(), order="date", bucket=DEFAULT_BUCKET) -> DataFrame:
+                        keys=(), order="date", bucket=None) -> DataFrame:
     """WIN-05: a run of rows without ``price`` plus the next priced row forms one segment;
     each row takes the segment's null-skipping mean ``score``. A trailing run without a
     price is its own segment; a priced row after a priced row is a segment of one."""
@@ -261,13 +333,13 @@ def gap_segment_average(df: DataFrame, score: str, price: str, name: str | None
     name = name or score
     seg = running_count(df, F.col(price).isNotNull(), "__seg", keys, order, inclusive=False, bucket=bucket)
     means = seg.groupBy(*keys, "__seg").agg(F.avg(score).alias("__mean"))
-    out = seg.join(means, keys + ["__seg"], "left").withColumn(name, F.col("__mean"))
+    out = _join(seg, means, keys + ["__seg"]).withColumn(name, F.col("__mean"))
     cols = [c for c in df.columns if c != BKT] + ([name] if name not in df.columns else [])
     return out.select(*cols)
 
 
 def sequence_windows(df: DataFrame, col: str, length: int = 10, name: str = "window",
-                     keys=(), order="date", bucket=DEFAULT_BUCKET) -> DataFrame:
+                     keys=(), order="date", bucket=None) -> DataFrame:
     """WIN-10: look-back windows of ``length`` values (oldest first), kept only when full."""
     specs = {f"__w{i}": (col, i) for i in range(1, length)}
     out = shift(df, specs, keys, order, bucket)

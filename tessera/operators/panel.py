@@ -96,10 +96,10 @@ def dedupe_keep_last(df: DataFrame, key: Sequence[str] | str, ingest_order: Sequ
 
 def argmax_params(results: DataFrame, score: str, idx: str, group: Sequence[str] = (),
                   cols: Sequence[str] | None = None) -> DataFrame:
-    """AGG-13: best row by ``score``; on ties the smallest ``idx`` (first tried) wins."""
+    """AGG-13: best row by ``score``; on ties the smallest ``idx`` (first tried) wins; a NaN score is no score."""
     cols = cols or [c for c in results.columns if c not in group]
     best = results.groupBy(*group).agg(
-        F.max_by(F.struct(*cols), F.struct(F.col(score), -F.col(idx))).alias("__b"))
+        F.max_by(F.struct(*cols), F.struct(F.nanvl(F.col(score).cast("double"), F.lit(None).cast("double")), -F.col(idx))).alias("__b"))
     return best.select(*group, *[F.col(f"__b.{c}").alias(c) for c in cols])
 
 
@@ -136,7 +136,7 @@ def incremental_upsert(existing: DataFrame, new: DataFrame, date: str = "date",
     both = union_all(existing, new)
     both = both.na.drop(subset=[main])
     value_cols = [c for c in both.columns if c not in keys + [date, batch, pos]]
-    bucket = F.struct(F.col(batch), F.floor(F.col(pos) / 65536))
+    bucket = F.struct(F.col(batch), O.row_buckets(both, pos).alias("part"))
     filled = O.backfill(both, value_cols, keys=keys, order=[batch, pos], bucket=bucket)
     latest = dedupe_keep_last(filled, keys + [date], [batch, pos])
     num = [f.name for f in latest.schema.fields
@@ -166,8 +166,8 @@ def sort_by(df: DataFrame, cols: Sequence[str], tie: Sequence[str] = ()) -> Data
 
 
 def rank_models(report: DataFrame, score: str = "test_adj_r2", name: str = "model") -> DataFrame:
-    """SRT-02: descending score, missing (and exactly 0, as the reference's ``or``) last."""
-    eff = F.when(F.col(score) == 0, None).otherwise(F.col(score))
+    """SRT-02: descending score, missing, NaN and exactly 0 last."""
+    eff = F.when((F.col(score) == 0) | F.isnan(score), None).otherwise(F.col(score))
     return report.withColumn("__s", eff).orderBy(F.col("__s").desc_nulls_last(), F.col(name)).drop("__s")
 
 

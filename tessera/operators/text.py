@@ -31,16 +31,16 @@ def tokens_of(df: DataFrame, text: str, name: str = "tokens", stopwords: bool =
 
 
 def lemma_table(tokens: DataFrame, col: str = "tokens") -> DataFrame:
-    """STX-04 dictionary built from the corpus: a form maps to the first suffix-rule
-    base that is itself a word of the corpus (stand-in for the WordNet lookup)."""
+    """STX-04 dictionary built from the corpus: a form maps to the shortest
+    suffix-rule base that is itself a word of the corpus (stand-in for the WordNet lookup)."""
     vocab = tokens.select(F.explode(col).alias("form")).distinct()
     cands = F.array(*[
-        F.when(F.col("form").endswith(suf) & (F.length("form") > len(suf)),
+        F.when(F.col("form").endswith(suf) & (F.length("form") >= len(suf)),
                F.concat(F.expr(f"substring(form, 1, length(form) - {len(suf)})"), F.lit(rep)))
         for suf, rep in NOUN_SUFFIX_RULES])
-    c = vocab.select("form", F.posexplode(cands).alias("rule", "lemma")).filter(F.col("lemma").isNotNull())
+    c = vocab.select("form", F.posexplode(cands).alias("rule", "lemma")).filter(F.col("lemma") != "")
     known = c.join(vocab.withColumnRenamed("form", "lemma"), "lemma", "left_semi")
-    return known.groupBy("form").agg(F.min_by("lemma", "rule").alias("lemma"))
+    return known.groupBy("form").agg(F.min_by("lemma", F.struct(F.length("lemma"), "rule")).alias("lemma"))
 
 
 def lemmatize(df: DataFrame, key: str, col: str = "tokens", table: DataFrame | None = None,
@@ -83,16 +83,17 @@ def word_lexicon(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
 
 def score_texts(df: DataFrame, key: str, text: str = "text", lexicon: DataFrame | None = None,
                 scorer: Callable[[pd.Series], pd.Series] | None = None, name: str = "score",
-                max_tokens: int = 512) -> DataFrame:
+                max_tokens: int | None = None) -> DataFrame:
     """SEN-01: a score per text. With ``scorer`` (pandas Series of texts -> Series of
     scores, e.g. a model loaded once per task) it runs as an Arrow-batched pandas UDF;
-    with ``lexicon`` (word, weight) it is the mean weight of the first ``max_tokens``
-    tokens that the lexicon knows (null when none)."""
+    with ``lexicon`` (word, weight) it is the mean weight of the tokens that the lexicon
+    knows (null when none), of the first ``max_tokens`` only if a limit is asked for."""
     if scorer is not None:
         udf = F.pandas_udf(scorer, "double")
         return df.withColumn(name, udf(F.col(text)))
     t = (df.select(key, "tokens") if "tokens" in df.columns else tokens_of(df.select(key, text), text))
-    t = t.withColumn("tokens", X.truncate_tokens(F.col("tokens"), max_tokens))
+    if max_tokens is not None:
+        t = t.withColumn("tokens", X.truncate_tokens(F.col("tokens"), max_tokens))
     ex = t.select(key, F.explode("tokens").alias("word"))
     s = ex.join(lexicon, "word", "inner").groupBy(key).agg(F.avg("weight").alias(name))
     return df.join(s, key, "left")

@@ -233,11 +233,13 @@ def q_ln_exp(spark, sf):
                                    N.ln_exp(F.col("value") / 100, inverse=True).alias("exp_value")), 9)
 
 
-@query("softmax", """SELECT vec_id, round(exp(embedding[2] - m) / (exp(embedding[1] - m) + exp(embedding[2] - m) + exp(embedding[3] - m)), 9) AS p1
-FROM (SELECT vec_id, embedding, greatest(embedding[1], embedding[2], embedding[3]) AS m FROM embeddings)""")
+@query("softmax", """WITH e AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS i FROM embeddings),
+m AS (SELECT vec_id, x, i, exp(x - max(x) OVER (PARTITION BY vec_id)) AS w FROM e),
+p AS (SELECT vec_id, i, w / sum(w) OVER (PARTITION BY vec_id) AS p FROM m)
+SELECT vec_id, round(max(p), 9) AS p_max, round(max(CASE WHEN i = 2 THEN p END), 9) AS p1 FROM p GROUP BY vec_id""")
 def q_softmax(spark, sf):
-    e = table(spark, sf, "embeddings").select("vec_id", F.slice("embedding", 1, 3).cast("array<double>").alias("logits"))
-    return round_doubles(e.select("vec_id", N.softmax(F.col("logits"))[1].alias("p1")), 9)
+    e = table(spark, sf, "embeddings").select("vec_id", N.softmax(F.col("embedding").cast("array<double>")).alias("p"))
+    return round_doubles(e.select("vec_id", F.array_max("p").alias("p_max"), F.col("p")[1].alias("p1")), 9)
 
 
 @query("normal_draw")

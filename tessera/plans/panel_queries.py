@@ -224,9 +224,9 @@ def q_row_count(spark, sf):
     return P.row_count(table(spark, sf, "lineitem"))
 
 
-@query("distinct_rows", "SELECT DISTINCT l_returnflag, l_linestatus, l_quantity FROM lineitem")
+@query("distinct_rows", "SELECT DISTINCT * FROM lineitem")
 def q_distinct_rows(spark, sf):
-    return P.distinct_rows(table(spark, sf, "lineitem").select("l_returnflag", "l_linestatus", "l_quantity"))
+    return P.distinct_rows(table(spark, sf, "lineitem"))
 
 
 @query("dedupe_keep_last", """SELECT event_type, user_id, arg_max(event_id, ts) AS event_id, arg_max(value, ts) AS value,

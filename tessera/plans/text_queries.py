@@ -41,9 +41,9 @@ def q_tokenize(spark, sf):
 
 
 @query("remove_stopwords", f"""SELECT doc_id, CAST(len(t) AS INT) AS n_tokens, md5(array_to_string(t, '|')) AS tokens_md5
-FROM (SELECT doc_id, {_TOKS} AS t FROM documents WHERE lang = 'en')""")
+FROM (SELECT doc_id, {_TOKS} AS t FROM documents)""")
 def q_remove_stopwords(spark, sf):
-    d = TX.tokens_of(table(spark, sf, "documents").filter(F.col("lang") == "en"), "text", "t")
+    d = TX.tokens_of(table(spark, sf, "documents"), "text", "t")
     return d.select("doc_id", F.size("t").alias("n_tokens"), F.md5(F.array_join("t", "|")).alias("tokens_md5"))
 
 
@@ -51,8 +51,8 @@ _LEMMA_SQL = f"""toks AS (SELECT doc_id, {_TOKS} AS t FROM documents),
 vocab AS (SELECT DISTINCT unnest(t) AS form FROM toks),
 cands AS ({" UNION ALL ".join(
     f"SELECT form, {i} AS rule, substr(form, 1, length(form) - {len(s)}) || '{r}' AS lemma FROM vocab "
-    f"WHERE suffix(form, '{s}') AND length(form) > {len(s)}" for i, (s, r) in enumerate(TX.NOUN_SUFFIX_RULES))}),
-lem AS (SELECT form, arg_min(lemma, rule) AS lemma FROM cands WHERE lemma IN (SELECT form FROM vocab) GROUP BY form),
+    f"WHERE suffix(form, '{s}') AND length(form) >= {len(s)}" for i, (s, r) in enumerate(TX.NOUN_SUFFIX_RULES))}),
+lem AS (SELECT form, arg_min(lemma, length(lemma) * 100 + rule) AS lemma FROM cands WHERE lemma <> '' AND lemma IN (SELECT form FROM vocab) GROUP BY form),
 ex AS (SELECT doc_id, t[g.pos] AS form, g.pos FROM toks, LATERAL (SELECT unnest(generate_series(1, len(toks.t))) AS pos) g),
 lm AS (SELECT ex.doc_id, list(coalesce(lem.lemma, ex.form) ORDER BY pos) AS l FROM ex LEFT JOIN lem USING (form) GROUP BY ex.doc_id)"""
 
@@ -158,7 +158,7 @@ def lexicon(spark, sf):
 _LEX_SQL = f"""lab AS (SELECT d.doc_id, l.quality, list_distinct({_TOKS}) AS t FROM documents d JOIN labels l USING (doc_id)),
 lw AS (SELECT word, least(greatest(avg(quality) - (SELECT avg(quality) FROM labels), -1), 1) AS weight FROM (
   SELECT doc_id, quality, unnest(t) AS word FROM lab) GROUP BY word HAVING count(*) >= 2),
-sc AS (SELECT doc_id, avg(weight) AS score FROM (SELECT doc_id, unnest(t[1:512]) AS word FROM (
+sc AS (SELECT doc_id, avg(weight) AS score FROM (SELECT doc_id, unnest(t) AS word FROM (
   SELECT doc_id, {_TOKS} AS t FROM documents)) JOIN lw USING (word) GROUP BY doc_id)"""
 
 
