@@ -99,8 +99,10 @@ def row_buckets(df: DataFrame, order, rows: int = ROWS) -> Column:
     inner = F.lit(0)
     for x in hot:
         own = sorted(set(_quantiles(df.filter(value == x), second, cuts.count(x) + 1)))
-        if own:
-            inner = F.when(value == x, _place(second, own)).otherwise(inner)
+        if own:  # a hot value opens its bucket; what follows it there comes after all its parts
+            later = [y for y in bounds if y > x]
+            behind = value > x if not later else (value > x) & (value < later[0])
+            inner = F.when(value == x, _place(second, own)).when(behind, MOST_BUCKETS).otherwise(inner)
     return bucket * (MOST_BUCKETS + 1) + inner
 
 

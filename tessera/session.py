@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -34,10 +35,11 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def prepare(spark: SparkSession) -> SparkSession:
     """Settings the operators assume: UTC wall clock (dates are calendar days) and a
     checkpoint folder. The cluster's ``spark.checkpoint.dir`` always wins; a scratch
-    folder is only made when none is configured (local runs and tests)."""
+    folder is only made for a local master without one (tests); on a cluster its absence
+    is an error, since executors would write to disks that nobody else sees."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    # wide feature plans (dozens of derived columns) make constraint inference
-    # explode in planning time; nothing here relies on inferred filters
+    # the lag frames of the forecasts (dozens of derived columns) spend minutes in constraint
+    # inference otherwise: var_forecast did not end within ten minutes with it switched on
     spark.conf.set("spark.sql.constraintPropagation.enabled", "false")
     checkpoint_dir(spark)
     return spark
@@ -50,6 +52,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(configured)
         return configured
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(local)
     spark.conf.set("spark.checkpoint.dir", local)
