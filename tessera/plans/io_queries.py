@@ -100,7 +100,8 @@ def q_bootstrap_tables(spark, sf):
     return spark.read.parquet(out["news_data"])
 
 
-@query("metric_doc")
+@query("metric_doc", f"""SELECT 'naive_' || series AS model, round(adjusted_r2, 6) AS test_adjusted_r2
+FROM {_sql_metrics()} WHERE split = 'test'""")
 def q_metric_doc(spark, sf):
     path = _scratch(spark, "runs")
     m = naive_metrics(spark, sf)
@@ -111,7 +112,7 @@ def q_metric_doc(spark, sf):
         F.struct("train", "val", "test").alias("scores"))
     IO.metric_doc(rec, path)
     back = spark.read.json(path)
-    return back.select("model", F.col("scores.test.adjusted_r2").alias("test_adjusted_r2"))
+    return round_doubles(back.select("model", F.col("scores.test.adjusted_r2").alias("test_adjusted_r2")))
 
 
 def _forecasts_sql(upto=None):

@@ -13,7 +13,7 @@ from ..session import table_path
 from .fixtures import SERIES, daily_orders
 from .panel_queries import panel_features
 from .quality_queries import _sql_metrics, naive_metrics
-from .registry import query, round_doubles
+from .registry import ORACLE, query, round_doubles
 
 FEATURES = SERIES + [f"{c}_pct_chg" for c in SERIES]
 LABEL = "target"
@@ -104,7 +104,8 @@ def q_train_final_and_score(spark, sf):
     return round_doubles(met)
 
 
-@query("save_load_model")
+@query("save_load_model", f"""SELECT hour, true AS same FROM ({ORACLE["panel_features"]}) AS p
+WHERE {" AND ".join(f"{c} IS NOT NULL" for c in [*FEATURES, LABEL])}""")
 def q_save_load_model(spark, sf):
     d = model_data(spark, sf)
     model, _ = M.train_final(d, FEATURES, LABEL, "ridge", RIDGE)
