@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import subwords
-from .common import fold, sliced
+from .common import fold, released, sliced
 
 SIZES = (2, 3, 4)
 UNKNOWN = "und"
@@ -137,19 +137,19 @@ def train(texts: list[str], langs: list[str], bits: int = 16, length: int = 48,
     k = len(names)
     model = Model(names, np.zeros((k, 1 << bits), np.float32), np.empty(0, np.uint64), np.zeros((0, k), np.float32),
                   np.zeros((k, k), np.float32), np.zeros(k), np.zeros((k, k)), bits)
-    words = subwords.words_of(texts)
-    if k < 2 or not words.count:
+    known = subwords.vocabulary(texts, SIZES, bits)
+    if k < 2 or not len(known.text):
         return model
-    label = np.repeat([names.index(x) for x in langs], np.diff(words.first))
-    code, place = np.unique(subwords.word_codes(words), return_inverse=True)
-    seen = np.stack([np.bincount(place, label == j, len(code)) for j in range(k)], axis=1)
+    size = np.diff(known.first)
+    label = np.repeat([names.index(x) for x in langs], size)
+    seen = np.stack([np.bincount(known.text[label == j], minlength=len(known.codes)) for j in range(k)], axis=1)
     often = seen.sum(axis=1) >= 5
     share = (seen + 0.1) / (seen.sum(axis=0) + 1)
-    model.lexicon = code[often]
+    model.lexicon = known.codes[often]
     model.member = (share[often] >= 0.5 * share[often].max(axis=1, keepdims=True)).astype(np.float32)
 
     rng = np.random.default_rng(seed)
-    some = np.flatnonzero(np.diff(words.first) > 0)
+    some = np.flatnonzero(size > 0)
     lang_of = np.array([names.index(x) for x in langs])
     by_lang = [own for j in range(k) if len(own := some[lang_of[some] == j])]
     picks = np.empty((chains, length), np.int64)
@@ -158,18 +158,12 @@ def train(texts: list[str], langs: list[str], bits: int = 16, length: int = 48,
         for a, b in zip([0, *cuts], [*cuts, length]):
             own = by_lang[rng.integers(len(by_lang))]
             t = own[rng.integers(len(own))]
-            lo, hi = words.first[t], words.first[t + 1]
+            lo, hi = known.first[t], known.first[t + 1]
             at = rng.integers(lo, max(lo + 1, hi - (b - a) + 1))
             picks[c, a:b] = np.minimum(at + np.arange(b - a), hi - 1)
-    used, chain = np.unique(picks, return_inverse=True)  # words that occur
-    chain = chain.reshape(picks.shape)
-    ids, cuts = [], []
-    for n in SIZES:
-        at, bucket = subwords.ngrams(words, n, bits)
-        ids.append(bucket)
-        cuts.append(np.searchsorted(at, words.starts))
-    count = sum(np.diff(c) for c in cuts)[used]
-    member = membership(model, subwords.word_codes(words)[used])
+    chain = known.text[picks]
+    member = membership(model, known.codes)
+    count = np.diff(known.cuts)
     gold = label[picks]
     memory = [np.full((1 << bits, k), 1e-6), np.full((k, k), 1e-3), np.full(k, 1e-3), np.full((k, k), 1e-3)]
     grams = np.zeros((1 << bits, k))
@@ -180,19 +174,10 @@ def train(texts: list[str], langs: list[str], bits: int = 16, length: int = 48,
             own = order[i:i + batch]
             here, back = np.unique(chain[own], return_inverse=True)
             back = back.reshape(-1)
-            bag, size = [], []
-            for g, c in zip(ids, cuts):
-                a, b = c[used[here]], c[used[here] + 1]
-                bag.append((g, a, b - a))
-                size.append(b - a)
-            emit = np.zeros((len(here), k))
-            spans = []
-            for g, a, n in bag:
-                e = np.concatenate([[0], np.cumsum(n)])
-                sel = g[np.arange(e[-1]) + np.repeat(a - e[:-1], n)]
-                total = np.concatenate([np.zeros((1, k)), np.cumsum(grams[sel], axis=0)])
-                emit += total[e[1:]] - total[e[:-1]]
-                spans.append((sel, n))
+            sel, number = known.spans(here)
+            total = np.concatenate([np.zeros((1, k)), np.cumsum(grams[sel], axis=0)])
+            edge = np.concatenate([[0], np.cumsum(number)])
+            emit = total[edge[1:]] - total[edge[:-1]]
             per = 1 / np.maximum(count[here], 1)
             scores = (emit * per[:, None] + member[here] @ model.lex + model.bias)[back]
             p = marginals(scores, model.trans, first)
@@ -202,8 +187,7 @@ def train(texts: list[str], langs: list[str], bits: int = 16, length: int = 48,
             pair = expected_pairs(scores.reshape(batch, length, k), model.trans, p.reshape(batch, length, k))
             y = gold[own]
             np.subtract.at(pair, (y[:, :-1].ravel(), y[:, 1:].ravel()), 1)
-            sel = np.concatenate([s for s, _ in spans])
-            owner = np.concatenate([np.repeat(np.arange(len(here)), n) for _, n in spans])
+            owner = np.repeat(np.arange(len(here)), number)
             touched, place = np.unique(sel, return_inverse=True)
             weighted = by_word * per[:, None]
             g = np.stack([np.bincount(place, weighted[owner, j], len(touched)) for j in range(k)], axis=1) / batch
@@ -251,7 +235,7 @@ def predict(model: Model, texts: list[str]) -> tuple[list[str], np.ndarray]:
     size = np.diff(words.first)
     best = sums.argmax(axis=1)
     score = np.clip(sums[np.arange(len(texts)), best] / np.maximum(size, 1), 0, 1)
-    known = [n > 0 and any(map(str.isalpha, t)) if n < 50 else True for n, t in zip(size, texts)]
+    known = [n > 0 and any(map(str.isalpha, t)) for n, t in zip(size, texts)]
     return [model.langs[b] if ok else UNKNOWN for b, ok in zip(best, known)], np.where(known, score, 0.0)
 
 
@@ -291,7 +275,7 @@ def label_languages(docs: DataFrame, model: Model, id_col: str = "doc_id", text_
 
     rows = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")
+    return rows.mapInArrow(released(run), f"doc_id {kind}, lang_pred string, score double")
 
 
 def language_spans(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
@@ -317,7 +301,7 @@ def language_spans(docs: DataFrame, model: Model, id_col: str = "doc_id", text_c
     from .common import clean_text
     rows = docs.select(docs[id_col].alias("doc_id"), clean_text(text_col).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, first_word long, words long, lang string")
+    return rows.mapInArrow(released(run), f"doc_id {kind}, first_word long, words long, lang string")
 
 
 def detect_languages(docs: DataFrame) -> DataFrame:

@@ -88,31 +88,20 @@ def ngrams(words: Words, n: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def word_codes(words: Words) -> np.ndarray:
-    """A 64-bit hash of each word."""
-    row = words.row.astype(np.uint64)
-    powers = _powers(len(row))
-    total = np.cumsum((row + np.uint64(1)) * powers, dtype=np.uint64)
-    a, b = words.starts[:-1], words.starts[1:]
-    out = (total[b - 1] - total[a]) * _powers(len(row), True)[a]
+    """A 64-bit hash of each word: its letters times powers of an odd number, modulo 2**64, mixed."""
+    if not words.count:
+        return np.empty(0, np.uint64)
+    size = np.diff(words.starts)
+    place = np.arange(len(words.row) - 1, dtype=np.int32) - np.repeat(words.starts[:-1].astype(np.int32), size)
+    powers = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(int(size.max()), 0xD1342543DE82EF95, np.uint64)]), dtype=np.uint64)
+    value = powers[place]
+    value *= words.row[:-1].astype(np.uint64) + np.uint64(1)
+    out = np.add.reduceat(value, words.starts[:-1])
     out ^= out >> np.uint64(29)
     out *= np.uint64(0xBF58476D1CE4E5B9)
     return out ^ (out >> np.uint64(32))
 
 
-_BASE = 0xD1342543DE82EF95
-_TABLES: dict[bool, np.ndarray] = {}
-
-
-def _powers(size: int, inverse: bool = False) -> np.ndarray:
-    """Powers of an odd number (or of its inverse) modulo 2**64."""
-    have = _TABLES.get(inverse)
-    if have is None or len(have) < size:
-        base = pow(_BASE, -1, 1 << 64) if inverse else _BASE
-        have = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(max(size, 1 << 16), base, np.uint64)]), dtype=np.uint64)
-        _TABLES[inverse] = have
-    return have[:size]
-
-
 def sums_by_word(words: Words, at: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sum and number of values (at places of the row, ascending) by word."""
     cuts = np.searchsorted(at, words.starts)
@@ -128,3 +117,55 @@ def distinct(words: Words) -> tuple[Words, np.ndarray, np.ndarray]:
     row = np.zeros(int(starts[-1]) + 1, np.uint32)
     row[:-1] = words.row[np.arange(starts[-1]) + np.repeat(begin - starts[:-1], size)]
     return Words(row, starts, np.array([0, len(at)]), words.begin[at], words.end[at]), code, place
+
+
+@dataclass
+class Vocabulary:
+    """Texts as numbers of distinct words, and each distinct word's n-gram buckets.
+
+    ``codes``: the words' hashes, ascending; ``text``: the words of all texts; ``first`` as in
+    Words; ``bucket[cuts[w]:cuts[w + 1]]``: the n-grams of word w."""
+
+    codes: np.ndarray
+    text: np.ndarray
+    first: np.ndarray
+    cuts: np.ndarray
+    bucket: np.ndarray
+
+    def spans(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Buckets of the words, end to end, and their number by word."""
+        size = self.cuts[words + 1] - self.cuts[words]
+        edge = np.cumsum(size) - size
+        return self.bucket[np.arange(size.sum()) + np.repeat(self.cuts[words] - edge, size)], size
+
+
+def vocabulary(texts: list[str], sizes: tuple[int, ...], bits: int, digits: bool = False, step: int = 1 << 19) -> Vocabulary:
+    """Read ``step`` code points at a time, so only distinct words' n-grams are held."""
+    codes, texts_, lengths, buckets, numbers = [], [], [np.zeros(1, np.int64)], [], []
+    at = 0
+    while at < len(texts):
+        stop, held = at, 0
+        while stop < len(texts) and (held < step or stop == at):
+            held += len(texts[stop])
+            stop += 1
+        words = words_of(texts[at:stop], digits)
+        own, code, place = distinct(words)
+        found = [ngrams(own, n, bits) for n in sizes]
+        where = np.concatenate([a for a, _ in found])
+        order = np.argsort(where, kind="stable")
+        codes.append(code)
+        texts_.append(code[place])
+        lengths.append(np.diff(words.first))
+        buckets.append(np.concatenate([b for _, b in found])[order].astype(np.int32))
+        numbers.append(np.diff(np.searchsorted(where[order], own.starts)))
+        at = stop
+    if not codes:
+        empty = np.empty(0, np.int64)
+        return Vocabulary(empty.astype(np.uint64), empty, np.zeros(1, np.int64), np.zeros(1, np.int64), empty)
+    whole, index = np.unique(np.concatenate(codes), return_index=True)
+    number = np.concatenate(numbers)
+    begin = np.cumsum(number) - number
+    size = number[index]
+    cuts = np.concatenate([[0], np.cumsum(size)])
+    bucket = np.concatenate(buckets)[np.arange(cuts[-1]) + np.repeat(begin[index] - cuts[:-1], size)]
+    return Vocabulary(whole, np.searchsorted(whole, np.concatenate(texts_)), np.cumsum(np.concatenate(lengths)), cuts, bucket)

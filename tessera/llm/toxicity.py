@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import subwords
-from .common import clean_text, fold, sliced
+from .common import clean_text, fold, released, sliced
 
 SIZES = (3, 4, 5)
 
@@ -34,15 +34,6 @@ class Model:
     window: int
 
 
-def grams(texts: list[str], bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Buckets in order of words, the cut before each word (and the end), and the first word of each text."""
-    words = subwords.words_of(texts, digits=True)
-    found = [subwords.ngrams(words, n, bits) for n in SIZES]
-    at, bucket = np.concatenate([a for a, _ in found]), np.concatenate([b for _, b in found])
-    order = np.argsort(at, kind="stable")
-    return bucket[order].astype(np.int32), np.searchsorted(at[order], words.starts), words.first
-
-
 def window_means(word: np.ndarray, first: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Mean over every window of a text's words: means, first words, and the cut of each text's windows.
 
@@ -88,8 +79,8 @@ def train(texts: list[str], labels: np.ndarray, bits: int = 17, dims: int = 8, w
     bias = np.log(np.array([1 - share, share], np.float32))
     if not len(set(labels.tolist())) > 1:
         return Model(np.zeros(1 << bits, np.float32), float(bias[1] - bias[0]), bits, window)
-    bucket, cuts, first = grams(texts, bits)
-    counts = np.diff(cuts)
+    known = subwords.vocabulary(texts, SIZES, bits, digits=True)
+    first, counts = known.first, np.diff(known.cuts)
     seen = [np.full_like(vectors, 1e-8), np.full_like(rows, 1e-3), np.full_like(bias, 1e-3)]
     has = np.flatnonzero(np.diff(first) > 0)
     clean = has[labels[has] == 0]
@@ -99,8 +90,9 @@ def train(texts: list[str], labels: np.ndarray, bits: int = 17, dims: int = 8, w
         if epoch < early:
             begin, end, owner = first[:-1][has], first[1:][has], has
         else:
-            score = np.concatenate([[0.0], np.cumsum((vectors @ (rows[1] - rows[0]))[bucket], dtype=np.float64)])
-            means, starts, wcuts = window_means((score[cuts[1:]] - score[cuts[:-1]]) / np.maximum(counts, 1), first, window)
+            score = np.concatenate([[0.0], np.cumsum((vectors @ (rows[1] - rows[0]))[known.bucket], dtype=np.float64)])
+            word = (score[known.cuts[1:]] - score[known.cuts[:-1]]) / np.maximum(counts, 1)
+            means, starts, wcuts = window_means(word[known.text], first, window)
             top = np.array([starts[a + int(np.argmax(means[a:b]))] for a, b in zip(wcuts[:-1][has], wcuts[1:][has])])
             size = np.diff(wcuts)[clean]
             other = starts[wcuts[:-1][clean] + (rng.random(len(clean)) * size).astype(np.int64)]
@@ -111,17 +103,14 @@ def train(texts: list[str], labels: np.ndarray, bits: int = 17, dims: int = 8, w
         step = rate * (1 - 0.8 * epoch / epochs)
         for i in range(0, len(order), batch):
             chosen = order[i:i + batch]
-            a, b = cuts[begin[chosen]], cuts[end[chosen]]
-            chosen, a, b = chosen[b > a], a[b > a], b[b > a]
-            if not len(chosen):
-                continue
-            size = b - a
-            edge = np.concatenate([[0], np.cumsum(size)])
-            ids = bucket[np.arange(edge[-1]) + np.repeat(a - edge[:-1], size)]
-            words = end[chosen] - begin[chosen]
-            parts = counts[np.arange(words.sum()) + np.repeat(begin[chosen] - np.concatenate([[0], np.cumsum(words)[:-1]]), words)]
-            part = np.repeat((1 / np.maximum(parts, 1) / np.repeat(words, words)).astype(np.float32), parts)[:, None]
-            mean = np.add.reduceat(vectors[ids] * part, edge[:-1], axis=0)
+            length = end[chosen] - begin[chosen]
+            edge = np.concatenate([[0], np.cumsum(length)])
+            words = known.text[np.arange(edge[-1]) + np.repeat(begin[chosen] - edge[:-1], length)]
+            ids, parts = known.spans(words)
+            bag = np.repeat(np.repeat(np.arange(len(chosen)), length), parts)
+            part = np.repeat((1 / np.maximum(parts, 1) / np.repeat(length, length)).astype(np.float32), parts)
+            starts_at = np.searchsorted(bag, np.arange(len(chosen)))
+            mean = np.add.reduceat(vectors[ids] * part[:, None], starts_at, axis=0)
             logits = mean @ rows.T + bias
             logits -= logits.max(axis=1, keepdims=True)
             p = np.exp(logits)
@@ -130,8 +119,7 @@ def train(texts: list[str], labels: np.ndarray, bits: int = 17, dims: int = 8, w
             p /= len(chosen)
             back = p @ rows
             touched, place = np.unique(ids, return_inverse=True)
-            owners = np.repeat(np.arange(len(chosen)), size)
-            grad = np.stack([np.bincount(place, back[owners, d] * part[:, 0], len(touched)) for d in range(dims)], axis=1)
+            grad = np.stack([np.bincount(place, back[bag, d] * part, len(touched)) for d in range(dims)], axis=1)
             for value, g, s, where in ((vectors, grad, seen[0], touched), (rows, p.T @ mean, seen[1], slice(None)),
                                        (bias, p.sum(axis=0), seen[2], slice(None))):
                 s[where] += g * g
@@ -170,7 +158,7 @@ def score_toxicity(docs: DataFrame, model: Model, threshold: float = 0.7, id_col
 
     rows = docs.select(docs[id_col].alias("doc_id"), clean_text(text_col).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, score double, predicted int")
+    return rows.mapInArrow(released(run), f"doc_id {kind}, score double, predicted int")
 
 
 def drop_toxic(docs: DataFrame, model: Model, threshold: float = 0.7, text_col: str = "text",
@@ -184,11 +172,11 @@ def drop_toxic(docs: DataFrame, model: Model, threshold: float = 0.7, text_col:
             texts = [t or "" for t in batch.column(text_col).to_pylist()]
             yield batch.filter(pa.array(margins(shared.value, texts) < limit))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(released(run), docs.schema)
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", max_rows: int = 3000,
-                 longest: int = 3000, **options) -> Model:
+                 longest: int = 2000, **options) -> Model:
     """Trains on a bounded sample of the labelled rows (see ``labelled_sample``): at most ``2 * max_rows``
     texts, so the driver holds at most ``2 * max_rows * longest`` code points at any input size."""
     sample = labelled_sample(docs, labels, label_col, max_rows, longest)
