@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +44,32 @@ def sliced(batches: Iterator[pa.RecordBatch], column: str, target: int) -> Itera
             start, base = stop, int(ends[stop - 1])
 
 
+#: empties what an operator keeps in a Python worker from task to task
+RELEASE: list[Callable[[], None]] = []
+
+
+def release(keep: bool = False) -> None:
+    """Empties what other operators keep in this reused worker (unless ``keep``), and gives freed
+    memory back to the system (glibc holds it otherwise)."""
+    for empty in () if keep else RELEASE:
+        empty()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def released(run: Callable[[Iterator], Iterator], keep: bool = False) -> Callable[[Iterator], Iterator]:
+    """A batch function that releases memory at its start and end."""
+    def wrapped(batches: Iterator) -> Iterator:
+        release(keep)
+        try:
+            yield from run(batches)
+        finally:
+            release(keep)
+    return wrapped
+
+
 def clean_text(col: str = "text"):
     """The text, null as empty."""
     return F.coalesce(F.col(col).cast("string"), F.lit(""))

@@ -17,7 +17,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import clean_text, sliced
+from .common import clean_text, released, sliced
 
 #: fixed values: exact phrases and their labels
 PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
@@ -136,7 +136,7 @@ def scan_licenses(docs: DataFrame, phrases: dict[str, str] | None = None, notice
 
     rows = docs.select(docs[id_col].alias("doc_id"), clean_text(text_col).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, n_words long, n_base long, first_word long, last_word long, "
+    return rows.mapInArrow(released(run), f"doc_id {kind}, n_words long, n_base long, first_word long, last_word long, "
                                 "base_labels string, labels string, score double, "
                                 "spans array<struct<label:string,from:long,to:long,errors:int>>")
 

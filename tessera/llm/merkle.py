@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import clean_text, sliced
+from .common import clean_text, released, sliced
 
 #: a leaf: at most 128 characters up to the end of a sentence
 LEAVES = re.compile(r"[^.!?]{1,128}[.!?]*|[.!?]+", re.S)
@@ -213,7 +213,7 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     placed = followed(docs, id_col, text_col, buckets)
     return (placed.repartition("_bucket").sortWithinPartitions("_bucket", "_after", "doc_id", "text")
-            .mapInArrow(run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
+            .mapInArrow(released(run), "doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
                              "edited_fingerprint string, near_edited double, near_next double, n_sections int, "
                              "n_paragraphs int, edit_from long, edit_to long"))
 

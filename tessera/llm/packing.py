@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import clean_text, materialize, sliced
+from .common import RELEASE, clean_text, materialize, released, sliced
 
 UNITS = re.compile(r"\s*\S+|\s+")
 #: white space other than blank and line feed; the libraries differ on the kind of the first four
@@ -92,6 +92,7 @@ class UnitEncoder:
 
 
 _ENCODERS: dict[str, UnitEncoder] = {}
+RELEASE.append(lambda: [(e.known.clear(), e.spaced.clear()) for e in _ENCODERS.values()] and None)
 
 
 def encoder(path: str) -> UnitEncoder:
@@ -142,7 +143,7 @@ def token_pieces(docs: DataFrame, size: int = 1024, end_id: int | None = 2, voca
     rows = docs.select(docs[id_col].alias("doc_id"), clean_text(text_col).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, slot long"
-    return rows.mapInArrow(run, schema + (", ids array<int>" if keep_ids else ""))
+    return rows.mapInArrow(released(run, keep=True), schema + (", ids array<int>" if keep_ids else ""))
 
 
 def best_fit(lengths: list[int], size: int, open_bins: int) -> tuple[np.ndarray, np.ndarray]:

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import clean_text, sliced
+from .common import RELEASE, clean_text, released, sliced
 
 MARK = "▁"
 PARTS = re.compile(r" +[^ ]*|[^ ]+")
@@ -80,6 +80,7 @@ class PieceCounter:
 
 
 _COUNTERS: dict[str, PieceCounter] = {}
+RELEASE.append(lambda: [c.known.clear() for c in _COUNTERS.values()] and None)
 
 
 def counter(path: str) -> PieceCounter:
@@ -109,4 +110,4 @@ def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     rows = docs.select(docs[id_col].alias("doc_id"), clean_text(text_col).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, n_bytes long, n_tokens long, over_limit boolean")
+    return rows.mapInArrow(released(run, keep=True), f"doc_id {kind}, n_bytes long, n_tokens long, over_limit boolean")
