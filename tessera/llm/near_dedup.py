@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import subwords
-from .common import materialize, sliced
+from .common import materialize, release, released, sliced
 from .components import components
 from .vectors import _groups
 
@@ -81,10 +81,9 @@ def shingle_codes(texts: list[str], size: int) -> tuple[np.ndarray, np.ndarray]:
     return mix(np.concatenate(codes)) >> np.uint64(8), np.concatenate(owner)
 
 
-def _block(ids: list, texts: list[str], block: int, size: int, bits: int, many: int) -> Iterator[tuple]:
+def _block(ids: list, texts: list[str], block: int, size: int, bits: int, many: int, damping: float) -> Iterator[tuple]:
     """Rows (range, block, kind, n, body) that a block of documents sends out."""
     codes, owner = shingle_codes(texts, size)
-    totals = np.bincount(owner, minlength=len(texts))
     order = np.argsort(codes, kind="stable")
     codes, owner = codes[order], owner[order]
     new = np.ones(len(codes), bool)
@@ -92,6 +91,8 @@ def _block(ids: list, texts: list[str], block: int, size: int, bits: int, many:
     at = np.flatnonzero(new)
     times = np.diff(np.append(at, len(codes)))
     codes, owner = codes[at], owner[at].astype(np.uint32)
+    counts = np.bincount(owner, minlength=len(texts)).astype("<i8")
+    sums = np.bincount(owner, term_weight(times, damping), len(texts)).astype("<f8")
     first = np.ones(len(codes), bool)
     first[1:] = codes[1:] != codes[:-1]
     run = np.flatnonzero(first)
@@ -109,7 +110,7 @@ def _block(ids: list, texts: list[str], block: int, size: int, bits: int, many:
     for r, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())):
         if b > a:
             yield r, block, ENTRIES, b - a, pack(codes[a:b], owner[a:b], times[a:b])
-    about = np.asarray([-1 if i is None else i for i in ids], "<i8").tobytes() + totals.astype("<i8").tobytes()
+    about = np.asarray([-1 if i is None else i for i in ids], "<i8").tobytes() + counts.tobytes() + sums.tobytes()
     yield int(mix(np.uint64([block + 1]))[0] >> np.uint64(64 - bits)), block, BLOCK, len(ids), about
 
 
@@ -143,9 +144,16 @@ def _answer(table: pa.Table) -> pa.Table:
     return pa.concat_tables([through, answers.cast(through.schema)])
 
 
+def term_weight(times: np.ndarray, damping: float) -> np.ndarray:
+    return 1 + damping * np.log(times)
+
+
 def weights_of(times: np.ndarray, docs: np.ndarray, corpus: int, damping: float) -> np.ndarray:
-    """TF-IDF: occurrences times 1 + damping * ln(corpus / documents) / ln(corpus + 1)."""
-    return times * (1 + damping * np.log(np.maximum(corpus, docs) / docs) / math.log(corpus + 1))
+    """Damped TF-IDF: (1 + d ln occurrences) * (1 + d ln(corpus / documents) / ln(corpus + 1)).
+
+    With a small d the weighted similarity of texts stays near the plain one: neither a line that is
+    repeated often nor an edit's unique shingles outweigh the rest."""
+    return term_weight(times, damping) * (1 + damping * np.log(np.maximum(corpus, docs) / docs) / math.log(corpus + 1))
 
 
 def weighted_samples(codes: np.ndarray, weights: np.ndarray, starts: np.ndarray, count: int) -> np.ndarray:
@@ -192,13 +200,13 @@ def _vector(n: int, whole: float, body: bytes, corpus: int, damping: float) -> t
 
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, size: int = 5, damping: float = 0.25, bands: int = 12,
-                    rows: int = 3, block_bytes: int = 1 << 23, many: int = 8, chunk: int = 256,
+                    rows: int = 3, block_bytes: int = 1 << 22, many: int = 8, chunk: int = 256,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: ``doc_id, group_id`` (smallest id of its group), ``kept`` (it is that one).
 
     Words are runs of letters, marks and digits in lower case; a shingle is ``size`` words, or all words
-    of a shorter text. Weights are occurrences times a damped inverse document frequency over all
-    documents. Null texts, empty texts and texts without a word have no shingle and group with
+    of a shorter text. Weights are damped term and inverse document frequencies, the latter over all
+    documents (``weights_of``). Null texts, empty texts and texts without a word have no shingle and group with
     nothing; null ids group with nothing; both are kept. Rows with equal ids are one document
     whose group joins all that is near to any of them. Other columns are ignored; an empty table
     gives an empty result. A pair at the threshold shares a band with probability
@@ -222,7 +230,7 @@ def candidates(docs: DataFrame, threshold: float, size: int, damping: float, cou
         keys, texts, held = [], [], 0
 
         def out() -> pa.RecordBatch:
-            got = list(_block(keys, texts, block, size, bits, many))
+            got = list(_block(keys, texts, block, size, bits, many, damping))
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*got), SENT)], schema=SENT)
 
         for batch in sliced(batches, "text", block_bytes):
@@ -237,10 +245,12 @@ def candidates(docs: DataFrame, threshold: float, size: int, damping: float, cou
             yield out()
 
     def assemble(table: pa.Table) -> pa.Table:
+        release()
         kinds = table.column("kind").to_numpy()
         about = table.filter(pa.array(kinds == BLOCK))
         raw = np.frombuffer(about.column("body")[0].as_py(), "<i8")
-        keys, totals = raw[:len(raw) // 2], raw[len(raw) // 2:]
+        keys, counts, sums = np.split(raw, 3)
+        sums = sums.view("<f8")
         found = [unpack(b, n, 3) for k, n, b in zip(kinds, table.column("n").to_pylist(), table.column("body").to_pylist()) if k == ENTRIES]
         if not found:
             return CANDIDATES.empty_table()
@@ -263,8 +273,9 @@ def candidates(docs: DataFrame, threshold: float, size: int, damping: float, cou
         starts = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
         who = owner[starts]
         shared = np.add.reduceat(weight, starts)
-        alone = totals[who] - np.add.reduceat(times, starts)
-        whole = shared + alone * weights_of(1.0, np.float64(1), corpus, damping)
+        alone = counts[who] - np.diff(np.append(starts, len(codes)))
+        rest = sums[who] - np.add.reduceat(term_weight(times, damping), starts)
+        whole = shared + np.where(alone > 0, rest, 0.0) * weights_of(1.0, np.float64(1), corpus, damping)
         good = (shared >= threshold * whole - 1e-9) & (keys[who] >= 0)
         if not good.any():
             return CANDIDATES.empty_table()
@@ -289,7 +300,7 @@ def candidates(docs: DataFrame, threshold: float, size: int, damping: float, cou
 
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")) \
         .where(F.col("text").isNotNull() & (F.col("text") != ""))
-    sent = texts.mapInArrow(send, "range int, block long, kind int, n long, body binary")
+    sent = texts.mapInArrow(released(send), "range int, block long, kind int, n long, body binary")
     answers = sent.groupBy("range").applyInArrow(_answer, "block long, kind int, n long, body binary")
     return answers.groupBy("block").applyInArrow(
         assemble, "doc_id long, n long, whole double, body binary, k1 long, k2 long, codes array<long>")
@@ -300,7 +311,7 @@ CANDIDATES = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("whole", pa.
 
 
 def near_links(docs: DataFrame, threshold: float = 0.8, size: int = 5, damping: float = 0.25, bands: int = 12, rows: int = 3,
-               block_bytes: int = 1 << 23, many: int = 8, chunk: int = 256, id_col: str = "doc_id",
+               block_bytes: int = 1 << 22, many: int = 8, chunk: int = 256, id_col: str = "doc_id",
                text_col: str = "text") -> DataFrame:
     """Links (a, b) whose components are the groups of near duplicates: a spanning set, not all pairs."""
     corpus = docs.count()
@@ -333,7 +344,7 @@ def near_links(docs: DataFrame, threshold: float = 0.8, size: int = 5, damping:
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     linked = (stars.join(vectors, "rep").repartition("hub", "salt").sortWithinPartitions("hub", "salt", "role")
-              .mapInArrow(verify, "a long, b long"))
+              .mapInArrow(released(verify), "a long, b long"))
     links = materialize(copies.unionByName(linked), "near-links")
 
     # buckets that still hold several components are compared in blocks
@@ -358,7 +369,7 @@ def near_links(docs: DataFrame, threshold: float = 0.8, size: int = 5, damping:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*got)], names=["a", "b"])
 
     more = (blocks.join(vectors, "rep").join(reps.select("rep", "codes"), "rep")
-            .repartition(*key).sortWithinPartitions(*key).mapInArrow(compare, "a long, b long"))
+            .repartition(*key).sortWithinPartitions(*key).mapInArrow(released(compare), "a long, b long"))
     return links.unionByName(materialize(more, "near-links"))
 
 

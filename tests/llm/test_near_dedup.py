@@ -33,8 +33,8 @@ def brute(rows, threshold=0.8, damping=0.25):
     for i in range(n):
         for j in range(i):
             a, b = sets[i], sets[j]
-            least = sum(min(a[s], b[s]) * idf[s] for s in a if s in b)
-            most = sum(max(a[s], b[s]) * idf[s] for s in a | b)
+            least = sum((1 + damping * math.log(min(a[s], b[s]))) * idf[s] for s in a if s in b)
+            most = sum((1 + damping * math.log(max(a[s], b[s]))) * idf[s] for s in a | b)
             if rows[i][0] is not None and rows[j][0] is not None and (rows[i][0] == rows[j][0] or least and least / most >= threshold):
                 head[top(i)] = top(j)
     least_id = {}
@@ -77,6 +77,13 @@ def test_groups_against_all_pairs(spark):
         assert all(r.kept == (r.doc_id == r.group_id) for r in rows)
 
 
+def test_a_repeated_line_does_not_make_texts_alike(spark):
+    rng = random.Random(7)
+    line = " ".join(f"l{i}" for i in range(12)) + "\n"
+    texts = [line * 40 + " ".join(f"w{rng.randrange(10**6)}" for _ in range(150)) for _ in range(30)]
+    assert all(r.kept for r in N.near_duplicates(docs_frame(spark, texts)).collect())
+
+
 def test_awkward_rows(spark):
     rows = [(t if isinstance(t, tuple) else (i, t)) for i, t in enumerate(AWKWARD)]
     got = N.near_duplicates(docs_frame(spark, AWKWARD)).collect()
