@@ -3,8 +3,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -52,20 +54,48 @@ def high_water_mark(df: DataFrame, col: str = "date", as_of=None, default_days:
 
 def group_collect(df: DataFrame, key: str, value: str, order: Sequence[str],
                   name: str = "items") -> DataFrame:
-    """AGG-02: values per key as a list in a fixed order (``order`` breaks ties)."""
-    st = F.struct(*[F.col(o) for o in order], F.col(value).alias("__v"))
-    return df.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(st)), lambda x: x["__v"]).alias(name))
+    """AGG-02: values per key in a fixed order (``order`` breaks ties), as rows ``key, position, name``
+    (from 1). A key's values are spread over the buckets of its rows; no list holds them all."""
+    rows = df.select(key, *[o for o in order if o != key], F.col(value).alias("__v"))
+    return O.positions(rows, [key], list(order)).select(key, F.col(O.POS).alias("position"), F.col("__v").alias(name))
 
 
 def group_score_mean(df: DataFrame, key: str, text: str, score: str, order: Sequence[str],
-                     ) -> DataFrame:
-    """AGG-03: texts, scores and the null-skipping mean score per key."""
-    st = F.struct(*[F.col(o) for o in order], F.col(text).alias("t"), F.col(score).alias("s"))
-    srt = F.array_sort(F.collect_list(st))
-    return df.groupBy(key).agg(
-        F.transform(srt, lambda x: x["t"]).alias("news_list"),
-        F.transform(srt, lambda x: x["s"]).alias("sentiment_scores"),
-        F.avg(score).alias("mean_sentiment_score"))
+                     ) -> tuple[DataFrame, DataFrame]:
+    """AGG-03: texts and scores as rows ``key, position, news, sentiment_score``, and per key the
+    number of texts ``n_news`` and the null-skipping mean score (both summed map-side)."""
+    pair = df.withColumn("__pair", F.struct(F.col(text).alias("news"), F.col(score).alias("sentiment_score")))
+    items = group_collect(pair, key, "__pair", order).select(key, "position", "items.news", "items.sentiment_score")
+    means = df.groupBy(key).agg(F.count(F.lit(1)).alias("n_news"), F.avg(score).alias("mean_sentiment_score"))
+    return items, means
+
+
+def ordered_digest(items: DataFrame, key: str, value: str, sep: str, name: str) -> DataFrame:
+    """md5 per key of the non-null texts ``value`` in order of ``position``, joined by ``sep``.
+
+    The sum needs a key's rows one after the other, so a task reads all of a key, but it holds one batch."""
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, state, begun = None, None, False
+
+        def out() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([at], kind), pa.array([state.hexdigest()])], names=[key, name])
+
+        for batch in batches:
+            kind = batch.schema.field(key).type
+            for k, v in zip(batch.column(key).to_pylist(), batch.column(value)):
+                if state is None or k != at:
+                    if state is not None:
+                        yield out()
+                    at, state, begun = k, hashlib.md5(), False
+                if v.is_valid:
+                    state.update(((sep if begun else "") + v.as_py()).encode())
+                    begun = True
+        if state is not None:
+            yield out()
+
+    kind_of = items.schema[key].dataType.simpleString()
+    return (items.select(key, "position", value).repartition(key).sortWithinPartitions(key, "position").select(key, value)
+            .mapInArrow(digest, f"`{key}` {kind_of}, `{name}` string"))
 
 
 def quantiles(df: DataFrame, cols: Sequence[str], probs=(0.25, 0.75)) -> DataFrame:

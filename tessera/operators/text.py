@@ -100,8 +100,8 @@ def score_texts(df: DataFrame, key: str, text: str = "text", lexicon: DataFrame
 
 
 def daily_sentiment(scored: DataFrame, date: str = "date", key: str = "doc_id", text: str = "text",
-                    score: str = "score") -> DataFrame:
-    """SEN-02 / AGG-02 / AGG-03: per date the texts and scores (in key order) and the
+                    score: str = "score") -> tuple[DataFrame, DataFrame]:
+    """SEN-02 / AGG-02 / AGG-03: per date the texts and scores (rows, in key order), and the
     null-skipping mean score."""
     from .panel import group_score_mean
     return group_score_mean(scored, date, text, score, [key])

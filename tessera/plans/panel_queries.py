@@ -184,8 +184,8 @@ SELECT date, CAST(count(*) AS BIGINT) AS n_items, md5(string_agg(text, chr(31) O
 FROM news GROUP BY date""")
 def q_group_collect(spark, sf):
     g = P.group_collect(news(spark, sf), "date", "text", ["doc_id"], name="items")
-    return g.select("date", F.size("items").cast("long").alias("n_items"),
-                    F.md5(F.array_join("items", "\u001f")).alias("items_md5"))
+    n = news(spark, sf).groupBy("date").agg(F.count(F.lit(1)).alias("n_items"))
+    return O._join(n, P.ordered_digest(g, "date", "items", "\u001f", "items_md5"), ["date"])
 
 
 @query("missing_ratio_columns", f"""WITH {SQL_HOURLY_PANEL}

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..operators import ordered as O
 from ..operators import text as TX
+from ..operators.panel import group_score_mean, ordered_digest
 from .fixtures import SQL_DAILY_ORDERS, SQL_NEWS, daily_orders, news
 from .registry import query, round_doubles, table
 
@@ -178,17 +180,17 @@ def q_daily_sentiment(spark, sf):
     lex = TX.word_lexicon(toks, table(spark, sf, "labels"))
     n = news(spark, sf).join(toks.select("doc_id", "tokens"), "doc_id")
     s = TX.score_texts(n, "doc_id", lexicon=lex).drop("tokens").withColumn("score", F.round("score", 6))
-    g = TX.daily_sentiment(s)
-    return round_doubles(g.select("date", F.size("news_list").alias("n_news"), "mean_sentiment_score",
-                                  F.md5(F.array_join(F.transform("sentiment_scores", lambda x: F.coalesce(
-                                      x.cast("string"), F.lit("null"))), "|")).alias("scores_md5")))
+    items, means = TX.daily_sentiment(s)
+    items = items.withColumn("sentiment_score", F.coalesce(F.col("sentiment_score").cast("string"), F.lit("null")))
+    means = means.select("date", F.col("n_news").cast("int").alias("n_news"), "mean_sentiment_score")
+    return round_doubles(O._join(means, ordered_digest(items, "date", "sentiment_score", "|", "scores_md5"), ["date"]))
 
 
 @query("group_score_mean", f"""WITH {SQL_NEWS}, {_LEX_SQL}
 SELECT date, round(avg(score), 6) AS mean_sentiment_score, md5(string_agg(text, chr(31) ORDER BY doc_id)) AS news_md5
 FROM news LEFT JOIN sc USING (doc_id) GROUP BY date""")
 def q_group_score_mean(spark, sf):
-    from ..operators.panel import group_score_mean
     s = TX.score_texts(news(spark, sf), "doc_id", lexicon=lexicon(spark, sf))
-    g = group_score_mean(s, "date", "text", "score", ["doc_id"])
-    return round_doubles(g.select("date", "mean_sentiment_score", F.md5(F.array_join("news_list", "\u001f")).alias("news_md5")))
+    items, means = group_score_mean(s, "date", "text", "score", ["doc_id"])
+    means = means.select("date", "mean_sentiment_score")
+    return round_doubles(O._join(means, ordered_digest(items, "date", "news", "\u001f", "news_md5"), ["date"]))
