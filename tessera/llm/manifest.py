@@ -223,7 +223,7 @@ def manifest_sql(levels: int = 12, source_levels: int = 8) -> str:
             """a0 AS (SELECT s, leaf AS node, row_number() OVER (PARTITION BY s ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, doc_id, leaf, fold0
   FROM d JOIN k ON d.source IS NOT DISTINCT FROM k.source)""",
             "n0 AS (SELECT s, i, node, count(*) OVER (PARTITION BY s) AS t FROM a0)",
-            "p0 AS (SELECT s, i AS at, doc_id, leaf, fold0 AS f, '' AS proof FROM a0)"]
+            "p0 AS (SELECT s, i AS place, doc_id, leaf, fold0 AS f, '' AS proof FROM a0)"]
 
     def step(k: int) -> list[str]:
         """Level k to k + 1: the nodes, and for each leaf the proof and the folded node."""
@@ -232,14 +232,14 @@ def manifest_sql(levels: int = 12, source_levels: int = 8) -> str:
   FROM n{k} x JOIN n{k} y ON x.s = y.s AND x.i // {FAN} = y.i // {FAN} GROUP BY x.s, x.i)"""
         return [f"""n{k + 1} AS (SELECT s, i // {FAN} AS i, CASE WHEN any_value(t) > 1 THEN sha256(string_agg(node, '' ORDER BY i)) ELSE any_value(node) END AS node,
   any_value((t + {FAN - 1}) // {FAN}) AS t FROM n{k} GROUP BY s, i // {FAN})""",
-                f"""p{k + 1} AS (SELECT p.s, at // {FAN} AS at, doc_id, leaf, CASE WHEN u.t > 1 THEN sha256(u.l || f || u.r) ELSE f END AS f,
-  proof || u.l || u.r AS proof FROM p{k} p JOIN {run} u ON u.s = p.s AND u.i = p.at)"""]
+                f"""p{k + 1} AS (SELECT p.s, place // {FAN} AS place, doc_id, leaf, CASE WHEN u.t > 1 THEN sha256(u.l || f || u.r) ELSE f END AS f,
+  proof || u.l || u.r AS proof FROM p{k} p JOIN {run} u ON u.s = p.s AND u.i = p.place)"""]
 
     for k in range(levels):
         ctes += step(k)
     top = levels + 1
     ctes += [f"n{top} AS (SELECT 0 AS s, s AS i, node, count(*) OVER () AS t FROM n{levels})",
-             f"p{top} AS (SELECT 0 AS s, p.s AS at, doc_id, leaf, f, proof, n.node AS subroot FROM p{levels} p JOIN n{levels} n USING (s))"]
+             f"p{top} AS (SELECT 0 AS s, p.s AS place, doc_id, leaf, f, proof, n.node AS subroot FROM p{levels} p JOIN n{levels} n USING (s))"]
     for k in range(top, top + source_levels):
         ctes += [x.replace("doc_id, leaf, CASE", "doc_id, leaf, subroot, CASE") for x in step(k)]
     last = top + source_levels
