@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (langid, license_scan, manifest, merkle, mixing, near_dedup, packing, passages, suffixes, token_counts,
-               toxicity, vectors)
+from . import (langid, license_scan, manifest, merkle, mixing, near_dedup, packing, passages, spelling, suffixes,
+               token_counts, toxicity, vectors)
 from .common import table
 
 
@@ -55,13 +55,17 @@ def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.repeats_digest(table(spark, sf_dir, "documents"))
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.dataset_manifest(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_fingerprints, op2_near_dedup, op3_toxicity, op4_token_counts, op5_packing, op6_license_scan,
-                            op7_passages, op8_language, op9_vector_dedup, op10_mixing, op11_suffix_dedup, op13_manifest)}
+                            op7_passages, op8_language, op9_vector_dedup, op10_mixing, op11_suffix_dedup, op12_spelling, op13_manifest)}
 
 ORACLE: dict[str, str] = {"op10_mixing": mixing.mix_sql(), "op11_suffix_dedup": suffixes.repeats_sql(),
-                          "op13_manifest": manifest.manifest_sql()}
+                          "op12_spelling": spelling.variants_sql(), "op13_manifest": manifest.manifest_sql()}
