@@ -206,12 +206,17 @@ def pieces(keyed: DataFrame, wanted: DataFrame, least: int) -> DataFrame:
     return keyed.join(wanted, ["k", "own"]).select("text", "spans").mapInArrow(released(run), PIECES)
 
 
-#: seen 0: repeated windows [at, at + length) of a span; else a window of a divided anchor, its digits, and how often it is here
-SORTED = "anchor long, bytes long, at long, length long, w1 long, w2 long, seen int"
+#: repeated windows [at, at + length) of a span; or (``packed``) the distinct windows of divided anchors, of one range of digits
+SORTED = "anchor long, bytes long, at long, length long, range int, packed binary"
+REPEATED = "anchor long, bytes long, at long, length long"
+NAMES = ["anchor", "bytes", "at", "length", "range", "packed"]
+#: columns of a packed window: its digits, a place where it is, and 1 if it was there once
+FIELDS = 6
 
 
-def sort_buckets(dealt: DataFrame, least: int, windows: int) -> DataFrame:
-    """Sorts the windows of every bucket (anchor, part); about ``windows`` of them at a time, a bucket never divided."""
+def sort_buckets(dealt: DataFrame, least: int, windows: int, ranges: int) -> DataFrame:
+    """Sorts the windows of every bucket (anchor, part); about ``windows`` of them at a time, a bucket never divided.
+    The windows of an anchor that has several buckets go on, packed, one row for a block and range of digits."""
 
     def block(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
         distinct = list({(r[0], r[1], r[3]): r for r in rows}.values())  # a repeated row of the table sends its pieces again
@@ -235,9 +240,8 @@ def sort_buckets(dealt: DataFrame, least: int, windows: int) -> DataFrame:
         closes = told & (edge[1:] | ~np.append(told[1:], False))
         a, b = np.flatnonzero(opens), np.flatnonzero(closes) + 1
         if len(a):
-            none = pa.nulls(len(a), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(anchor[piece[a]]), pa.array(union[piece[a]]), pa.array(at[a]), pa.array(b - a),
-                                              none, none, pa.array(np.zeros(len(a), np.int32))], names=NAMES)
+                                              pa.nulls(len(a), pa.int32()), pa.nulls(len(a), pa.binary())], names=NAMES)
         divided = np.flatnonzero(parts[piece] > 1)
         if len(divided):
             own = group[divided]
@@ -245,11 +249,16 @@ def sort_buckets(dealt: DataFrame, least: int, windows: int) -> DataFrame:
             w = divided[lead]
             blocks = Blocks(data)
             half = least // 2
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(anchor[piece[w]]), pa.array(union[piece[w]]), pa.array(at[w]), pa.array(np.ones(len(w), np.int64)),
-                 pa.array(blocks(start[w], start[w] + half).view(np.int64)),
-                 pa.array(blocks(start[w] + half, start[w] + least).view(np.int64)),
-                 pa.array(np.minimum(seen[w], 2).astype(np.int32))], names=NAMES)
+            first_digit = blocks(start[w], start[w] + half)
+            rows = np.column_stack([first_digit.view(np.int64), blocks(start[w] + half, start[w] + least).view(np.int64),
+                                    anchor[piece[w]], union[piece[w]], at[w], (seen[w] == 1).astype(np.int64)])
+            where = (first_digit % np.uint64(ranges)).astype(np.int64)
+            order = np.argsort(where, kind="stable")
+            cuts = np.searchsorted(where[order], np.arange(ranges + 1))
+            told = [(r, rows[order[x:y]].tobytes()) for r, (x, y) in enumerate(zip(cuts[:-1], cuts[1:])) if y > x]
+            none = pa.nulls(len(told), pa.int64())
+            yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array([r for r, _ in told], pa.int32()),
+                                              pa.array([x for _, x in told], pa.binary())], names=NAMES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -267,7 +276,31 @@ def sort_buckets(dealt: DataFrame, least: int, windows: int) -> DataFrame:
     return dealt.mapInArrow(released(run), SORTED)
 
 
-NAMES = ["anchor", "bytes", "at", "length", "w1", "w2", "seen"]
+def meet_ranges(packed: DataFrame) -> DataFrame:
+    """Windows that were alone in their bucket and equal one of another bucket. Rows are sorted by range; a range holds
+    about a million windows, each once for every block that it is in."""
+
+    def met(held: list[bytes]) -> pa.RecordBatch:
+        rows = np.frombuffer(b"".join(held), np.int64).reshape(-1, FIELDS)
+        order, group, sizes = equal_runs(rows[:, 0], rows[:, 1])
+        keep = rows[order[(sizes[group] > 1) & (rows[order, 5] == 1)]]
+        return pa.RecordBatch.from_arrays([*(pa.array(keep[:, c]) for c in (2, 3, 4)), pa.array(np.ones(len(keep), np.int64))],
+                                          names=NAMES[:4])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[bytes] = []
+        last = None
+        for batch in batches:
+            for r, x in zip(batch.column("range").to_pylist(), batch.column("packed").to_pylist()):
+                if held and r != last:
+                    yield met(held)
+                    held = []
+                last = r
+                held.append(x)
+        if held:
+            yield met(held)
+
+    return packed.mapInArrow(released(run), REPEATED)
 
 
 def repeated_windows(keyed: DataFrame, least: int, seed: int, bucket: int, windows: int) -> DataFrame:
@@ -284,13 +317,12 @@ def repeated_windows(keyed: DataFrame, least: int, seed: int, bucket: int, windo
     wanted = (kinds.join(mixed, "anchor").withColumn("parts", parts).withColumn("part", F.pmod("bytes", "parts").cast("int"))
               .groupBy("k", "own").agg(F.collect_list(F.struct("anchor", "part", "parts", "bytes", "n", "start", "count")).alias("spans")))
     dealt = pieces(keyed, wanted, least).repartition("anchor", "part").sortWithinPartitions("anchor", "part")
-    done = materialize(sort_buckets(dealt, least, windows), "suffix-sorted")
-    divided = done.filter("seen > 0")
-    again = divided.groupBy("w1", "w2").agg(F.sum("seen").alias("t")).filter("t > 1").select("w1", "w2")
-    met = divided.filter("seen = 1").join(again, ["w1", "w2"])
+    over = mixed.filter(F.col("t") > bucket).agg(F.sum("t")).first()[0] or 0  # spans of divided anchors
+    done = materialize(sort_buckets(dealt, least, windows, 1 + over * (least - seed + 1) // (2 * windows)), "suffix-sorted")
+    met = meet_ranges(done.filter("range is not null").select("range", "packed").repartition("range").sortWithinPartitions("range"))
     known = (kinds.filter("n > 1").select("anchor", "bytes", F.lit(0).cast("long").alias("at"), F.col("count").alias("length"))
-             .unionByName(done.filter("seen = 0").select("anchor", "bytes", "at", "length"))
-             .unionByName(met.select("anchor", "bytes", "at", "length")))
+             .unionByName(done.filter("range is null").select("anchor", "bytes", "at", "length"))
+             .unionByName(met))
     return (shared.select("k", "own", "start", "anchor", "bytes").join(known, ["anchor", "bytes"])
             .select("k", "own", (F.col("start") + F.col("at")).alias("start"), "length")
             .unionByName(every.filter("n = 0").select("k", "own", "start", F.col("count").alias("length"))))
