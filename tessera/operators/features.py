@@ -7,15 +7,15 @@ do; the transform is then a plain column expression with those values as literal
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .columns import numeric_columns
+from .knn import impute_knn  # noqa: F401
 
 
 def _q(c: str) -> Column:
@@ -49,91 +49,78 @@ def impute(df: DataFrame, cols=None, strategy: str = "mean", exclude=()) -> Data
                            for c, v in fill.items() if v is not None})
 
 
-def impute_knn(df: DataFrame, row_id: str, cols=None, k: int = 5, keys: Sequence[str] = (),
-               max_broadcast: int = 200_000) -> DataFrame:
-    """IMP-03: k-nearest-neighbour imputation with the NaN-aware Euclidean distance
-    ``sqrt(m / |common| * sum_common (a - b)^2)`` over coordinates present in both rows;
-    the mean of the k nearest donors that hold the column; no usable donor gives the
-    column mean. Ties by donor ``row_id``.
-
-    Receivers are rows with a null; donors are matched within ``keys`` (one series of
-    a panel), so candidates are bounded by the series length, not the table size."""
-    keys = list(keys)
-    cols = _cols(df, cols, keys + [row_id])
-    m = len(cols)
-    vec = F.array(*[_q(c).cast("double") for c in cols])
-    base = df.select(*keys, row_id, vec.alias("__x"))
-    receivers = base.filter(F.exists("__x", lambda v: v.isNull()))
-    donors = base.select(*keys, F.col(row_id).alias("__did"), F.col("__x").alias("__dx"))
-    if keys:
-        pairs = receivers.join(donors, keys, "inner")
-    else:
-        # one panel: the receivers (rows with a gap) are broadcast to every donor task
-        # after their count is checked against ``max_broadcast``
-        n_recv = receivers.count()
-        if n_recv > max_broadcast:
-            raise ValueError(f"{n_recv} incomplete rows exceed max_broadcast={max_broadcast}; "
-                             "pass keys= to match donors within each series")
-        pairs = F.broadcast(receivers.withColumn("__one", F.lit(0))).join(
-            donors.withColumn("__one", F.lit(0)), "__one").drop("__one")
-    common = F.zip_with("__x", "__dx", lambda a, b: F.when(a.isNotNull() & b.isNotNull(), (a - b) * (a - b)))
-    n_common = F.size(F.filter(common, lambda v: v.isNotNull()))
-    ssum = F.aggregate(F.filter(common, lambda v: v.isNotNull()), F.lit(0.0), lambda s, v: s + v)
-    dist = F.when(n_common > 0, F.sqrt(F.lit(float(m)) / n_common * ssum))
-    pairs = pairs.filter(F.col(row_id) != F.col("__did")).withColumn("__d", dist).filter(F.col("__d").isNotNull())
-    # one candidate row per (receiver, missing column, donor holding that column)
-    idx = F.filter(F.sequence(F.lit(0), F.lit(m - 1)), lambda i: F.element_at("__x", i + 1).isNull())
-    cand = (pairs.select(*keys, row_id, "__did", "__d", "__dx", F.explode(idx).alias("__j"))
-            .withColumn("__v", F.element_at("__dx", F.col("__j") + 1)).filter(F.col("__v").isNotNull()))
-    w = Window.partitionBy(*keys, row_id, "__j").orderBy("__d", "__did")
-    top = cand.withColumn("__r", F.row_number().over(w)).filter(F.col("__r") <= k)
-    fills = top.groupBy(*keys, row_id, "__j").agg(F.avg("__v").alias("__fill"))
-    means = fit_impute(df, cols, "mean")
-    wide = fills.groupBy(*keys, row_id).agg(*[
-        F.max(F.when(F.col("__j") == j, F.col("__fill"))).alias(f"__f{j}") for j in range(m)])
-    out = df.join(wide, keys + [row_id], "left")
-    return out.withColumns({c: F.coalesce(_q(c), F.col(f"__f{j}"), F.lit(means[c]))
-                            for j, c in enumerate(cols)}).drop(*[f"__f{j}" for j in range(m)])
-
-
-def impute_iterative(df: DataFrame, cols=None, max_iter: int = 10, tol: float = 1e-3,
-                     ridge: float = 1e-6) -> DataFrame:
-    """IMP-04: start from column means; each round, for every column with nulls (fewest
-    nulls first) fit a linear regression on the other columns over the rows where it
-    is observed and refill its nulls; stop after ``max_iter`` rounds or when the
-    largest change is below ``tol`` times the largest absolute value. Each round is
-    one distributed Gram pass; the fitted state is p x p per column. The table is
-    checkpointed once per round (reliable checkpoint), so lineage and the column
-    expressions never nest deeper than one round."""
-    from .gram import gram
-    cols = _cols(df, cols)
-    counts = df.agg(*[F.count(_q(c)).alias(c) for c in cols]).first().asDict()
-    n_rows = df.count()
-    todo = sorted([c for c in cols if counts[c] < n_rows], key=lambda c: (n_rows - counts[c], cols.index(c)))
-    if not todo:
+def conditional_means(x: np.ndarray, mu: np.ndarray, sigma: np.ndarray, moments: bool = False):
+    """Rows of ``x`` with their gaps (nan) at the mean given what is present. With ``moments``, instead the sums of
+    the filled rows and of their products, to which a gap adds its variance given what is present."""
+    p = x.shape[1]
+    gaps = np.isnan(x)
+    kinds, which = np.unique(gaps, axis=0, return_inverse=True)
+    out, products = x.copy(), np.zeros((p, p))
+    for k, gap in enumerate(kinds):
+        if not gap.any():
+            continue
+        rows, have = np.flatnonzero(which.ravel() == k), ~gap
+        slope = sigma[np.ix_(gap, have)] @ np.linalg.pinv(sigma[np.ix_(have, have)], hermitian=True)
+        out[np.ix_(rows, gap)] = mu[gap] + (x[np.ix_(rows, have)] - mu[have]) @ slope.T
+        products[np.ix_(gap, gap)] += len(rows) * (sigma[np.ix_(gap, gap)] - slope @ sigma[np.ix_(have, gap)])
+    return out if not moments else (out.sum(axis=0), products + out.T @ out)
+
+
+def fit_iterative(df: DataFrame, cols: Sequence[str], max_iter: int = 50, tol: float = 1e-6) -> dict:
+    """IMP-04 fit: the mean and covariance of a normal distribution of the columns by expectation maximisation. Each round
+    fills every gap with its mean given the row's other values and learns the moments anew, in one job whatever
+    the number of columns; a batch works by pattern of gaps. Ends when no moment (of columns brought to deviation 1) moves
+    by more than ``tol``, or after ``max_iter`` rounds. Columns without a value stay out."""
+    cols = list(cols)
+    got = df.agg(F.count(F.lit(1)).alias("n"), *[x for i, c in enumerate(cols) for x in (
+        F.avg(_q(c)).alias(f"m{i}"), F.stddev_pop(_q(c)).alias(f"s{i}"), F.count(_q(c)).alias(f"n{i}"))]).first()
+    use = [i for i in range(len(cols)) if got[f"n{i}"]]
+    own = [cols[i] for i in use]
+    shift = np.array([got[f"m{i}"] for i in use], dtype=float)
+    scale = np.array([got[f"s{i}"] or 1.0 for i in use], dtype=float)
+    p, n = len(own), got["n"]
+    mu, sigma = np.zeros(p), np.diag([1.0 if got[f"s{i}"] else 0.0 for i in use])
+    rounds = 0
+    if any(got[f"n{i}"] < n for i in use):
+        from .gram import sum_vectors
+        rows = df.select(*(_q(c).cast("double").alias(f"x{j}") for j, c in enumerate(own)))
+        for rounds in range(1, max_iter + 1):
+            def moments(pdf, mu=mu, sigma=sigma):
+                x = (pdf.to_numpy(dtype=float, na_value=np.nan) - shift) / scale
+                first, second = conditional_means(x, mu, sigma, moments=True)
+                return np.concatenate([first, second.ravel()])
+
+            sums = sum_vectors(rows, moments, p + p * p)
+            new_mu = sums[:p] / n
+            new_sigma = sums[p:].reshape(p, p) / n - np.outer(new_mu, new_mu)
+            moved = max(np.abs(new_mu - mu).max(), np.abs(new_sigma - sigma).max())
+            mu, sigma = new_mu, (new_sigma + new_sigma.T) / 2
+            if moved <= tol:
+                break
+    return {"columns": own, "shift": shift.tolist(), "scale": scale.tolist(), "mu": mu.tolist(), "sigma": sigma.tolist(), "rounds": rounds}
+
+
+def fill_iterative(df: DataFrame, fit: dict) -> DataFrame:
+    """Gaps of the fitted columns at their mean given the row's other values."""
+    cols = fit["columns"]
+    if not cols:
         return df
-    means = fit_impute(df, cols, "mean")
-    cur = df.withColumns({f"__m_{c}": _q(c).isNull() for c in todo})
-    cur = cur.withColumns({c: F.coalesce(_q(c), F.lit(means[c])) for c in todo})
-    scale = max(abs(v) for v in means.values() if v is not None) or 1.0
-    for _ in range(max_iter):
-        cur = cur.checkpoint(eager=True)
-        biggest = 0.0
-        for c in todo:
-            others = [o for o in cols if o != c]
-            g = gram(cur.filter(~F.col(f"__m_{c}")), others, c).first()
-            p = len(others) + 1
-            a = np.asarray(g["xtx"]).reshape(p, p) + ridge * np.eye(p)
-            coef = np.linalg.lstsq(a, np.asarray(g["xty"]), rcond=None)[0]
-            pred = F.lit(float(coef[0]))
-            for b, o in zip(coef[1:], others):
-                pred = pred + F.lit(float(b)) * _q(o)
-            change = cur.filter(F.col(f"__m_{c}")).agg(F.max(F.abs(pred - _q(c)))).first()[0] or 0.0
-            biggest = max(biggest, change)
-            cur = cur.withColumn(c, F.when(F.col(f"__m_{c}"), pred).otherwise(_q(c)))
-        if biggest < tol * scale:
-            break
-    return cur.drop(*[f"__m_{c}" for c in todo])
+    shift, scale, mu, sigma = (np.asarray(fit[k]) for k in ("shift", "scale", "mu", "sigma"))
+
+    @F.pandas_udf("array<double>")
+    def fill(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        for parts in batches:
+            x = np.column_stack([v.to_numpy(dtype=float, na_value=np.nan) for v in parts])
+            yield pd.Series(list(conditional_means((x - shift) / scale, mu, sigma) * scale + shift))
+
+    filled = df.withColumn("__filled", fill(*(_q(c).cast("double") for c in cols)))
+    return filled.withColumns({c: F.coalesce(_q(c).cast("double"), F.col("__filled")[j]) for j, c in enumerate(cols)}).drop("__filled")
+
+
+def impute_iterative(df: DataFrame, cols=None, max_iter: int = 50, tol: float = 1e-6) -> DataFrame:
+    """IMP-04: each gap becomes its mean given the row's other values, under the distribution that ``fit_iterative`` learns."""
+    rows = df.checkpoint(eager=True)  # one pass a round
+    return fill_iterative(rows, fit_iterative(rows, _cols(df, cols), max_iter, tol))
 
 
 # ------------------------------------------------------------------ outliers

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -81,3 +82,29 @@ def solve(g: DataFrame, keys: Sequence[str], p: int, ridge: float | Sequence[flo
             yield pd.DataFrame(out, columns=keys + ["n", name, "sse"])
 
     return g.mapInPandas(run, schema)
+
+
+def sum_vectors(df: DataFrame, vector, length: int, piece: int = 4096) -> np.ndarray:
+    """The sum of ``length`` numbers over all rows: ``vector`` gives them for a pandas batch. Every task adds up its own batches and
+    sends its sum in pieces; a piece is added up in two steps, so neither a task nor the driver meets all tasks' sums."""
+    cuts = range(0, length, piece)
+
+    def partial(it):
+        total = np.zeros(length)
+        for pdf in it:
+            if len(pdf):
+                total += vector(pdf)
+        part = TaskContext.get().partitionId()
+        yield pd.DataFrame({"piece": range(len(cuts)), "salt": part % 32, "sum": [total[c:c + piece].tobytes() for c in cuts]})
+
+    def add(pdf: pd.DataFrame) -> pd.DataFrame:
+        total = np.sum([np.frombuffer(x, float) for x in pdf["sum"]], axis=0)
+        return pd.DataFrame({"piece": pdf["piece"][:1], "salt": pdf["salt"][:1], "sum": [total.tobytes()]})
+
+    kind = "piece int, salt int, sum binary"
+    parts = df.mapInPandas(partial, kind).groupBy("piece", "salt").applyInPandas(add, kind)
+    got = parts.groupBy("piece").applyInPandas(add, kind).collect()  # the sum itself, in pieces
+    out = np.zeros(length)
+    for r in got:
+        out[r["piece"] * piece:r["piece"] * piece + piece] = np.frombuffer(r["sum"], float)
+    return out

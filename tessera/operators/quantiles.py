@@ -1,124 +1,83 @@
-"""Exact quantiles without gathering a column into one task.
+"""Exact quantiles without gathering a column, in a task or on the driver.
 
-``percentile`` keeps every value of a group in one aggregation buffer. Here each target
-rank is narrowed instead: an ``approx_percentile`` pass brackets it inside the current
-band, a counting pass fixes how many values lie below the bracket, and once a band holds
-at most ``small`` values those few values are collected and the rank read off exactly.
-Every pass handles all columns and targets at once; a band shrinks ~1,500x per round, so
-even 10^12 values need three rounds. Linear interpolation between the two neighbouring
-ranks gives numpy's / ``percentile``'s definition."""
+``percentile`` keeps every value of a group in one aggregation buffer. Here a sketch brackets each target rank, one pass counts
+the values below each bracket, and the distinct values inside the brackets (a small share) are sorted into ranges with their
+counts. Running totals over the ranges tell in which one a rank lies, and the value is picked there. Each pass covers all columns and
+targets, as rows; what reaches the driver are the asked quantiles. Linear interpolation between the two
+neighbouring ranks gives numpy's / ``percentile``'s definition."""
 
 from __future__ import annotations
 
-import math
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-SMALL = 50_000
+from ..session import table_path
+
 ACCURACY = 10_000
 MARGIN = 3.0 / ACCURACY
+#: values of a column that need no bracket
+SMALL = 1_000
+
+
+def long_form(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``ci, x``: a row for each value, nulls and NaN left out."""
+    values = F.array(*[F.col(f"`{c}`").cast("double") for c in cols])
+    return df.select(F.posexplode(values).alias("ci", "x")).filter(F.col("x").isNotNull() & ~F.isnan("x"))
 
 
-def _long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    st = F.explode(F.array(*[F.struct(F.lit(i).alias("ci"), F.col(f"`{c}`").cast("double").alias("x"))
-                             for i, c in enumerate(cols)]))
-    return df.select(st.alias("s")).select("s.ci", "s.x").filter(F.col("x").isNotNull() & ~F.isnan("x"))
+def running_totals(df: DataFrame, keys: Sequence[str], order: str, value: str, name: str = "until") -> DataFrame:
+    """``df`` with the running total of ``value`` within ``keys`` in ``order`` (distinct within a key). Rows are sorted into
+    ranges, written once; only the ranges' totals are added up by key."""
+    spark = df.sparkSession
+    keys = list(keys)
+    path = table_path(spark, f"ranges-{uuid.uuid4().hex}")
+    ranged = df.repartitionByRange(*keys, order).withColumn("__part", F.spark_partition_id())
+    ranged.write.parquet(path)
+    rows = spark.read.schema(ranged.schema).parquet(path)
+    before = Window.partitionBy(*keys).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (rows.groupBy(*keys, "__part").agg(F.sum(value).alias("__sum"))
+              .withColumn("__start", F.coalesce(F.sum("__sum").over(before), F.lit(0))).drop("__sum"))
+    inside = Window.partitionBy(*keys, "__part").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    return (rows.withColumn("__in", F.sum(value).over(inside)).join(starts, [*keys, "__part"])
+            .withColumn(name, F.col("__start") + F.col("__in")).drop("__start", "__in", "__part"))
 
 
-def _band(ci: int, lo, hi) -> Column:
-    c = F.col("ci") == ci
-    if lo is not None:
-        c = c & (F.col("x") > F.lit(lo))
-    if hi is not None:
-        c = c & (F.col("x") <= F.lit(hi))
-    return c
+def _pick(df: DataFrame, cols: Sequence[str], targets: list[tuple]) -> dict[tuple[int, int], tuple]:
+    """For targets ``(ci, t, h, lo, hi)``: the values at ranks floor(h) and ceil(h); None where the bracket missed one."""
+    spark = df.sparkSession
+    asked = spark.createDataFrame(targets, "ci int, t int, h double, lo double, hi double")  # a row for each asked quantile
+    near = long_form(df, cols).join(F.broadcast(asked), "ci").filter(F.col("x") <= F.col("hi"))
+    # what lies below a bracket is one row (null, which sorts first); equal values are one row
+    counted = near.groupBy("ci", "t", F.when(F.col("x") >= F.col("lo"), F.col("x")).alias("v")).agg(F.count(F.lit(1)).alias("c"))
+    ranked = running_totals(counted, ["ci", "t"], "v", "c").join(F.broadcast(asked), ["ci", "t"])
+    holds = [(F.col("until") - F.col("c") <= r) & (r < F.col("until")) for r in (F.floor("h"), F.ceil("h"))]
+    got = ranked.filter(holds[0] | holds[1]).groupBy("ci", "t").agg(*(
+        F.max(F.when(x, F.col("v"))).alias(n) for n, x in zip(("a", "b"), holds))).collect()
+    return {(r["ci"], r["t"]): (r["a"], r["b"]) for r in got}
 
 
-def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], small: int = SMALL
-                    ) -> dict[tuple[str, float], float | None]:
-    """``{(column, p): quantile}`` with linear interpolation; None for an empty column."""
-    cols = list(cols)
-    long = _long(df, cols).checkpoint(eager=True)  # several passes over the same values
-    n = {r["ci"]: r["n"] for r in long.groupBy("ci").agg(F.count(F.lit(1)).alias("n")).collect()}
-    state = {}  # (ci, rank) -> [lo, hi, base, m]: rank in (lo, hi]; base = #values <= lo; m = #values in band
-    for ci in range(len(cols)):
-        if not n.get(ci):
-            continue
-        for p in probs:
-            h = (n[ci] - 1) * float(p)
-            for r in {math.floor(h), math.ceil(h)}:
-                state[(ci, r)] = [None, None, 0, n[ci]]
-    found: dict[tuple[int, int], float] = {}
-    for _ in range(12):
-        pending = [t for t in state if t not in found]
-        if not pending:
-            break
-        # band sizes are tracked from the counting pass, so no extra pass is needed
-        few = [t for t in pending if state[t][3] <= small]
-        many = [(t, state[t][3]) for t in pending if state[t][3] > small]
-        if few:
-            cond = None
-            for ci, r in few:
-                b = _band(ci, *state[(ci, r)][:2])
-                cond = b if cond is None else cond | b
-            rows = long.filter(cond).collect()  # at most `small` values per target
-            for ci, r in few:
-                lo, hi, base, _m = state[(ci, r)]
-                vals = sorted(v["x"] for v in rows if v["ci"] == ci and (lo is None or v["x"] > lo)
-                              and (hi is None or v["x"] <= hi))
-                found[(ci, r)] = vals[r - base]
-        if many:
-            # one sketch per distinct (column, band) carries every fraction asked of it
-            groups: dict[tuple, list] = {}
-            for j, ((ci, r), m) in enumerate(many):
-                lo, hi, base, _m = state[(ci, r)]
-                f = (r - base + 0.5) / m
-                groups.setdefault((ci, lo, hi), []).append((j, [max(f - MARGIN, 0.0), min(f + MARGIN, 1.0)]))
-            probes = []
-            for g, ((ci, lo, hi), items) in enumerate(groups.items()):
-                fr = [v for _, pair in items for v in pair]
-                x_in = F.when(_band(ci, lo, hi), F.col("x"))
-                probes.append(F.approx_percentile(x_in, F.array(*[F.lit(v) for v in fr]), ACCURACY).alias(f"g{g}"))
-            row = long.agg(*probes).first()
-            brackets = {}
-            for g, (_, items) in enumerate(groups.items()):
-                vals = row[f"g{g}"]
-                for i, (j, _) in enumerate(items):
-                    brackets[f"a{j}"] = (vals[2 * i], vals[2 * i + 1])
-            counts = []
-            for j, ((ci, r), _) in enumerate(many):
-                lo, hi = state[(ci, r)][:2]
-                a_lo, a_hi = brackets[f"a{j}"]
-                inb = _band(ci, lo, hi)
-                counts += [F.count(F.when(inb & (F.col("x") < a_lo), 1)).alias(f"lt_lo{j}"),
-                           F.count(F.when(inb & (F.col("x") <= a_lo), 1)).alias(f"le_lo{j}"),
-                           F.count(F.when(inb & (F.col("x") < a_hi), 1)).alias(f"lt_hi{j}"),
-                           F.count(F.when(inb & (F.col("x") <= a_hi), 1)).alias(f"le_hi{j}")]
-            cnt = long.agg(*counts).first()
-            for j, ((ci, r), m) in enumerate(many):
-                lo, hi, base, _m = state[(ci, r)]
-                a_lo, a_hi = brackets[f"a{j}"]
-                k = r - base
-                le_lo, le_hi = cnt[f"le_lo{j}"], cnt[f"le_hi{j}"]
-                if cnt[f"lt_lo{j}"] <= k < le_lo:
-                    found[(ci, r)] = a_lo
-                elif cnt[f"lt_hi{j}"] <= k < le_hi:
-                    found[(ci, r)] = a_hi
-                elif k < cnt[f"lt_lo{j}"]:
-                    state[(ci, r)] = [lo, a_lo, base, le_lo]
-                elif k < cnt[f"lt_hi{j}"]:
-                    state[(ci, r)] = [a_lo, a_hi, base + le_lo, le_hi - le_lo]
-                else:
-                    state[(ci, r)] = [a_hi, hi, base + le_hi, m - le_hi]
-    out: dict[tuple[str, float], float | None] = {}
-    for ci, c in enumerate(cols):
-        for p in probs:
-            if not n.get(ci):
-                out[(c, p)] = None
-                continue
-            h = (n[ci] - 1) * float(p)
-            a, b = found[(ci, math.floor(h))], found[(ci, math.ceil(h))]
-            out[(c, p)] = a + (h - math.floor(h)) * (b - a)
+def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], small: int = SMALL) -> dict[tuple[str, float], float | None]:
+    """``{(column, p): quantile}`` with linear interpolation; None for an empty column. Nulls and NaN are left out. A column of
+    at most ``small`` values is ranked whole, without a bracket."""
+    cols, probs = list(cols), [float(p) for p in probs]
+    edges = [(max(p - MARGIN, 0.0), min(p + MARGIN, 1.0)) for p in probs]
+    sketch = long_form(df, cols).groupBy("ci").agg(F.count(F.lit(1)).alias("n"), F.approx_percentile(
+        "x", F.array(*[F.lit(e) for pair in edges for e in pair]), F.lit(ACCURACY)).alias("b")).collect()  # a row a column
+    targets = []
+    for r in sketch:
+        for t, (p, (low, high)) in enumerate(zip(probs, edges)):
+            whole = r["n"] <= small
+            targets.append((r["ci"], t, (r["n"] - 1) * p, r["b"][2 * t] if low > 0 and not whole else float("-inf"),
+                            r["b"][2 * t + 1] if high < 1 and not whole else float("inf")))
+    found = _pick(df, cols, targets) if targets else {}
+    missed = [(ci, t, h, float("-inf"), float("inf")) for ci, t, h, _, _ in targets if None in found.get((ci, t), (None,))]
+    if missed:  # a bracket of the sketch that does not hold its rank: all values of that column
+        found |= _pick(df, cols, missed)
+    out: dict[tuple[str, float], float | None] = {(c, p): None for c in cols for p in probs}
+    for ci, t, h, _, _ in targets:
+        a, b = found[(ci, t)]
+        out[(cols[ci], probs[t])] = a + (h - int(h)) * (b - a)
     return out
