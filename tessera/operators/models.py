@@ -3,8 +3,8 @@
 Linear models are fitted from per-split Gram matrices (one distributed pass per
 split), so a whole parameter grid costs two passes over the data: Lasso by coordinate
 descent on the centred Gram (sklearn objective ``1/(2n)|y - Xw - b|^2 + a|w|_1``),
-Ridge in closed form (``|y - Xw - b|^2 + a|w|^2``). Boosted trees use ``GBTRegressor``.
-The final model is a ``pyspark.ml`` PipelineModel so it can be saved and reloaded.
+Ridge in closed form (``|y - Xw - b|^2 + a|w|^2``). Boosted trees grow for all sets together
+(``trees``). The final model is a PipelineModel of fitted stages (``stages``), so it can be saved and reloaded.
 """
 
 from __future__ import annotations
@@ -15,11 +15,10 @@ from collections.abc import Sequence
 
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import trees as TR
 from .gram import gram
 from .metrics import regression_metrics
 
@@ -117,7 +116,16 @@ def split_grams(df: DataFrame, features: Sequence[str], label: str, split: str =
     return {r[split]: GramStats(r, len(features)) for r in rows}
 
 
+#: parameters of the linear models; the solvers of a ridge differ in their way, not in their result
+LINEAR = {"lasso": {"alpha", "max_iter"}, "ridge": {"alpha", "solver"}}
+SOLVERS = ("auto", "lsqr", "cholesky", "svd")
+
+
 def fit_linear(model: str, params: dict, st: GramStats) -> tuple[np.ndarray, float]:
+    if unknown := set(params) - LINEAR.get(model, set(params)):
+        raise ValueError(f"unknown {model} parameters: {sorted(unknown)}")
+    if params.get("solver", "auto") not in SOLVERS:
+        raise ValueError(f"unknown ridge solver {params['solver']!r}")
     if model == "lasso":
         return lasso_cd(st, float(params["alpha"]), int(params.get("max_iter", 1000)))
     if model == "ridge":
@@ -132,56 +140,34 @@ def r2_from(st: GramStats, coef, intercept) -> float:
 
 # ------------------------------------------------------------ spark models
 
-def build_estimator(model: str, params: dict, features: Sequence[str], label: str, train_n: int | None = None,
-                    label_std: float | None = None) -> Pipeline:
-    """UDF-06: model name + params -> a ``pyspark.ml`` pipeline."""
-    va = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip")
-    if model == "lasso":
-        est = LinearRegression(featuresCol="features", labelCol=label, regParam=float(params["alpha"]),
-                               elasticNetParam=1.0, standardization=False, maxIter=int(params.get("max_iter", 1000)),
-                               tol=1e-8)
-    elif model == "ridge":
-        # Spark's normal-equation objective is (1/2n)SSE + (reg/2)|w|^2 on a y scaled by
-        # its std; reg = alpha * std_pop(y) / n gives sklearn's SSE + alpha|w|^2
-        reg = float(params["alpha"]) * (label_std or 1.0) / float(train_n or 1)
-        est = LinearRegression(featuresCol="features", labelCol=label, regParam=reg, elasticNetParam=0.0,
-                               standardization=False, solver="normal")
-    elif model == "xgboost":
-        est = GBTRegressor(featuresCol="features", labelCol=label, maxIter=int(params.get("n_estimators", 100)),
-                           maxDepth=int(params.get("max_depth", 3)), stepSize=float(params.get("learning_rate", 0.1)),
-                           subsamplingRate=float(params.get("subsample", 1.0)),
-                           featureSubsetStrategy=str(params.get("colsample_bytree", "all")),
-                           minInfoGain=float(params.get("gamma", 0.0)), seed=42)
-    else:
-        raise ValueError(f"unknown model {model!r}")
-    return Pipeline(stages=[va, est])
+def build_estimator(model: str, params: dict, features: Sequence[str], label: str) -> Pipeline:
+    """UDF-06: model name + params -> a pipeline of one fitted stage (an unknown model or parameter is an error)."""
+    from .stages import regressor
+    return Pipeline(stages=[regressor(model, params, features, label)])
 
 
 def grid_search(df: DataFrame, features: Sequence[str], label: str, split: str = "split",
-                models: Sequence[str] = ("lasso", "ridge"), grids: dict = REGRESSORS,
-                allowed: Sequence[str] = ALLOWED_MODELS) -> DataFrame:
-    """MOD-05: every parameter set of every allowed model fitted on train and scored
-    (R2) on val; a table ``(model, idx, params, val_r2)``. Linear models: all sets from
-    two Gram passes. Trees: one ``fit`` per set on the cached train rows."""
-    spark = df.sparkSession
-    rows = []
-    lin = [m for m in models if m in allowed and m in ("lasso", "ridge")]
-    if lin:
-        stats = split_grams(df, features, label, split)
-        for m in lin:
-            for i, p in enumerate(param_grid(grids[m])):
-                coef, b = fit_linear(m, p, stats["train"])
-                rows.append((m, i, json.dumps(p), float(r2_from(stats["val"], coef, b))))
-    for m in [m for m in models if m in allowed and m == "xgboost"]:
-        train = df.filter(F.col(split) == "train").cache()
-        val = df.filter(F.col(split) == "val")
-        for i, p in enumerate(param_grid(grids[m])):
-            fitted = build_estimator(m, p, features, label).fit(train)
-            pred = fitted.transform(val).withColumn("__s", F.lit("val"))
-            r2 = regression_metrics(pred, label, "prediction", ["__s"], len(features)).first()["r2"]
-            rows.append((m, i, json.dumps(p), float(r2)))
-        train.unpersist()
-    return spark.createDataFrame(rows, "model string, idx long, params string, val_r2 double")
+                models: Sequence[str] = ALLOWED_MODELS, grids: dict = REGRESSORS, allowed: Sequence[str] = ALLOWED_MODELS,
+                rows: Sequence[str] | None = None, local_cells: int = TR.LOCAL_CELLS) -> DataFrame:
+    """MOD-05: every parameter set of every allowed model fitted on train and scored (R2) on val: a table
+    ``(model, idx, params, val_r2)``. Linear models: all sets from two Gram passes. Trees: all sets grow together
+    (see ``trees``); ``rows`` tell rows apart where trees sample them."""
+    out = None
+    for m in (m for m in models if m in allowed):
+        sets = param_grid(grids[m])
+        if m == "xgboost":
+            parts = [df.filter(F.col(split) == s) for s in ("train", "val")]
+            scores = TR.search_trees(*parts, features, label, sets, rows, local_cells=local_cells)
+        else:
+            stats = split_grams(df, features, label, split)
+            fits = [fit_linear(m, p, stats["train"]) for p in sets]
+            scores = df.sparkSession.createDataFrame([(i, float(r2_from(stats["val"], *f))) for i, f in enumerate(fits)], "idx long, val_r2 double")
+        names = df.sparkSession.createDataFrame([(m, i, json.dumps(p)) for i, p in enumerate(sets)], "model string, idx long, params string")
+        own = names.join(scores, "idx", "left").select("model", "idx", "params", "val_r2")
+        out = own if out is None else out.unionByName(own)
+    if out is None:
+        raise ValueError("none of the models is allowed")
+    return out
 
 
 def best_params(results: DataFrame) -> DataFrame:
@@ -201,26 +187,42 @@ def predict_linear(df: DataFrame, features: Sequence[str], coef, intercept: floa
 def refit_and_score(df: DataFrame, features: Sequence[str], label: str, model: str, params: dict,
                     split: str = "split") -> DataFrame:
     """MOD-06: refit the chosen set on train + val, metrics for train, val and test."""
-    d = df.withColumn("__fit", F.when(F.col(split).isin("train", "val"), "fit").otherwise("test"))
-    if model in ("lasso", "ridge"):
-        st = split_grams(d, features, label, "__fit")["fit"]
-        coef, b = fit_linear(model, params, st)
-        scored = predict_linear(df, features, coef, b)
-    else:
-        fitted = build_estimator(model, params, features, label).fit(d.filter(F.col("__fit") == "fit"))
-        scored = fitted.transform(df)
-    return regression_metrics(scored, label, "prediction", [split], len(features))
-
-
-def model_report(spark: SparkSession, entries: list[dict]) -> DataFrame:
-    """MOD-07: one row per model with its params and 4-place scores, ranked by test
-    adjusted R2 (missing last)."""
-    from .panel import rank_models
+    fitted = build_estimator(model, params, features, label).fit(df.filter(F.col(split).isin("train", "val")))
+    return regression_metrics(fitted.transform(df), label, "prediction", [split], len(features))
+
+
+SCORES = [f"{s}_{k}" for s in ("train", "val", "test") for k in ("rmse", "mae", "r2", "adjusted_r2")]
+
+
+def report_row(df: DataFrame, features: Sequence[str], label: str, model: str, params: str, split: str = "split") -> DataFrame:
+    """One row: model, params (JSON) and the scores of its refit, four places each."""
     from ..functions.numeric import round_half_even
-    df = spark.createDataFrame(entries)
-    score_cols = [c for c in df.columns if c not in ("model", "params")]
-    df = df.withColumns({c: round_half_even(F.col(c).cast("double"), 4) for c in score_cols})
-    return rank_models(df, "test_adjusted_r2", "model")
+    met = refit_and_score(df, features, label, model, json.loads(params), split)
+    cells = {f"{s}_{k}": F.max(F.when(F.col(split) == s, F.col(k))) for s in ("train", "val", "test") for k in ("rmse", "mae", "r2", "adjusted_r2")}
+    return met.agg(*(round_half_even(v, 4).alias(n) for n, v in cells.items())).select(F.lit(model).alias("model"), F.lit(params).alias("params"), *SCORES)
+
+
+def tune(df: DataFrame, features: Sequence[str], label: str, rows: Sequence[str] | None = None, models: Sequence[str] = ALLOWED_MODELS,
+         grids: dict = REGRESSORS) -> DataFrame:
+    """MOD-05 to MOD-07: the whole grid searched, each model's best set refitted and scored, ranked by test adjusted R2."""
+    best = best_params(grid_search(df, features, label, models=models, grids=grids, rows=rows)).collect()  # a row a model
+    out = None
+    for b in sorted(best, key=lambda b: b["model"]):
+        own = report_row(df, features, label, b["model"], b["params"])
+        out = own if out is None else out.unionByName(own)
+    return ranked(out, "test_adjusted_r2", "model")
+
+
+def ranked(report: DataFrame, score: str, name: str) -> DataFrame:
+    """SRT-02 with its place as a column: a row's rank is one more than the number of rows before it."""
+    from .panel import rank_models
+    s = F.when((F.col(score) == 0) | F.isnan(score), None).otherwise(F.col(score))
+    d = report.withColumn("__s", s)
+    o = d.select(F.col("__s").alias("__o"), F.col(name).alias("__n"))
+    ahead = (F.col("__o").isNotNull() & F.col("__s").isNull()) | (F.col("__o") > F.col("__s")) | (
+        F.col("__o").eqNullSafe(F.col("__s")) & (F.col("__n") < F.col(name)))
+    places = d.join(F.broadcast(o), ahead, "left").groupBy(name).agg((F.count("__n") + 1).cast("int").alias("rank"))  # a row a model
+    return rank_models(d.drop("__s").join(places, name), score, name)
 
 
 def track_run(metrics: DataFrame, run_id: str, ts: str, params: dict, split: str = "split") -> DataFrame:
@@ -237,6 +239,14 @@ def track_run(metrics: DataFrame, run_id: str, ts: str, params: dict, split: str
     return p.unionByName(m)
 
 
+def append_run(record: DataFrame, path: str) -> DataFrame:
+    """MOD-08: the record appended to the run table at ``path``, partitioned by run; a run that is recorded again replaces its own
+    rows alone, other runs stay as they are. Returns the whole table."""
+    (record.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(path))
+    spark = record.sparkSession
+    return spark.read.schema(record.schema).parquet(path)
+
+
 def save_model(model: PipelineModel, path: str) -> str:
     """SNK-06: overwrite the stored model."""
     model.write().overwrite().save(path)
@@ -247,19 +257,19 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def train_final(df: DataFrame, features: Sequence[str], label: str, model: str, params: dict,
-                split: str = "split") -> tuple[PipelineModel, DataFrame]:
-    """MOD-09: fit on train, score train / val; refit on train + val, score test rows
-    that have a label; returns the final model and the metrics table."""
-    tr = df.filter(F.col(split) == "train")
-    stats = tr.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop(label).alias("s")).first()
-    est = build_estimator(model, params, features, label, stats["n"], stats["s"])
-    first = est.fit(tr)
-    m1 = regression_metrics(first.transform(df.filter(F.col(split).isin("train", "val"))), label, "prediction",
-                            [split], len(features))
+def train_final(df: DataFrame, features: Sequence[str], label: str, model: str, params: dict, split: str = "split",
+                prepare: Sequence = ()) -> tuple[PipelineModel, DataFrame]:
+    """MOD-09: fit on train, score train / val; refit on train + val, score test rows that have a label;
+    returns the final model (with the fitted ``prepare`` stages inside) and the metrics table."""
+    from .stages import regressor
+
+    def fitted(rows: DataFrame) -> PipelineModel:
+        return Pipeline(stages=[*prepare, regressor(model, params, features, label)]).fit(rows)
+
     tv = df.filter(F.col(split).isin("train", "val"))
-    st2 = tv.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop(label).alias("s")).first()
-    final = build_estimator(model, params, features, label, st2["n"], st2["s"]).fit(tv)
+    first = fitted(df.filter(F.col(split) == "train"))
+    m1 = regression_metrics(first.transform(tv), label, "prediction", [split], len(features))
+    final = fitted(tv)
     m2 = regression_metrics(final.transform(df.filter((F.col(split) == "test") & F.col(label).isNotNull())),
                             label, "prediction", [split], len(features))
     return final, m1.unionByName(m2)
@@ -269,4 +279,4 @@ def predict_last(model: PipelineModel, df: DataFrame, order: Sequence[str] | str
                  ) -> DataFrame:
     """MOD-10: score the newest row (per key) with a stored model."""
     from .panel import last_row
-    return model.transform(last_row(df, order, keys)).drop("features")
+    return model.transform(last_row(df, order, keys))

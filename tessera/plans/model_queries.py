@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import functions as F
 
 from ..operators import forecast as FC
 from ..operators import models as M
-from ..operators.panel import argmax_params, rank_models
+from ..operators import stages as ST
+from ..operators.panel import argmax_params, last_row
 from ..session import table_path
 from .fixtures import SERIES, daily_orders
 from .panel_queries import panel_features
@@ -41,7 +43,32 @@ def q_lasso(spark, sf):
     return round_doubles(_coef_table(spark, *M.lasso_cd(st, LASSO["alpha"], LASSO["max_iter"])))
 
 
-@query("ridge")
+def sql_linear(table, columns, label, ridge, where="true", name="w"):
+    """CTEs that solve the centred normal equations of ``label`` on ``columns`` by elimination, with ``ridge`` on the diagonal;
+    the last one, ``name``, has w0.. and the intercept."""
+    n = len(columns)
+    own = f"{name}_rows AS (SELECT {', '.join(columns)}, {label} AS y FROM {table} WHERE {where})"
+    mean = f"{name}_mean AS (SELECT {', '.join(f'avg({c}) AS m{i}' for i, c in enumerate(columns))}, avg(y) AS my FROM {name}_rows)"
+    cells = [f"sum(({a} - m{i}) * ({b} - m{j})){f' + {ridge}' if i == j else ''} AS a{i}_{j}"
+             for i, a in enumerate(columns) for j, b in enumerate(columns)]
+    cells += [f"sum(({a} - m{i}) * (y - my)) AS a{i}_{n}" for i, a in enumerate(columns)]
+    ctes = [own, mean, f"{name}_0 AS (SELECT {', '.join(cells)} FROM {name}_rows, {name}_mean)"]
+    for k in range(n):
+        cells = [f"a{i}_{j} - a{i}_{k} * a{k}_{j} / a{k}_{k} AS a{i}_{j}" if i != k else f"a{k}_{j} / a{k}_{k} AS a{k}_{j}"
+                 for i in range(n) for j in range(k + 1, n + 1)]
+        ctes.append(f"{name}_{k + 1} AS (SELECT {', '.join(cells)} FROM {name}_{k})")
+    weights = [f"a{i}_{n} AS w{i}" for i in range(n)]
+    intercept = "my" + "".join(f" - a{i}_{n} * m{i}" for i in range(n))
+    return ",\n".join([*ctes, f"{name} AS (SELECT {', '.join(weights)}, {intercept} AS intercept FROM {name}_{n}, {name}_mean)"])
+
+
+_COMPLETE = " AND ".join(f"{c} IS NOT NULL" for c in [*FEATURES, LABEL])
+
+
+@query("ridge", f"""WITH p AS ({ORACLE["panel_features"]}),
+{sql_linear("p", FEATURES, LABEL, RIDGE["alpha"], f"split = 'train' AND {_COMPLETE}")}
+{" UNION ALL ".join(f"SELECT '{n}' AS feature, round({x}, 6) AS coef FROM w" for n, x in
+                    [("intercept", "intercept"), *((c, f"w{i}") for i, c in enumerate(FEATURES))])}""")
 def q_ridge(spark, sf):
     st = M.split_grams(model_data(spark, sf), FEATURES, LABEL)["train"]
     return round_doubles(_coef_table(spark, *M.ridge_closed(st, RIDGE["alpha"])))
@@ -52,77 +79,92 @@ def q_boosted_trees(spark, sf):
     return round_doubles(M.refit_and_score(model_data(spark, sf), FEATURES, LABEL, "xgboost", TREES))
 
 
+def searched(spark, sf):
+    return M.grid_search(model_data(spark, sf), FEATURES, LABEL, rows=["hour"])
+
+
 @query("param_grid")
 def q_param_grid(spark, sf):
-    grid = M.param_grid_table(spark)
-    res = M.grid_search(model_data(spark, sf), FEATURES, LABEL).select("model", "idx", "val_r2")
-    return round_doubles(grid.join(res, ["model", "idx"], "left"))
+    """All 264 sets, each with the score of its fit."""
+    return round_doubles(M.param_grid_table(spark).join(searched(spark, sf).drop("params"), ["model", "idx"], "left"))
 
 
 @query("grid_search")
 def q_grid_search(spark, sf):
-    return round_doubles(M.best_params(M.grid_search(model_data(spark, sf), FEATURES, LABEL)))
-
-
-def _best(spark, sf, model):
-    b = M.best_params(M.grid_search(model_data(spark, sf), FEATURES, LABEL, models=(model,))).first()
-    return json.loads(b["params"])
+    return round_doubles(M.best_params(searched(spark, sf)))
 
 
 @query("refit_and_score")
 def q_refit_and_score(spark, sf):
-    return round_doubles(M.refit_and_score(model_data(spark, sf), FEATURES, LABEL, "lasso", _best(spark, sf, "lasso")))
-
-
-def _report_entries(spark, sf):
+    """The set with the best score of all models, refitted."""
     d = model_data(spark, sf)
-    out = []
-    for m, p in (("lasso", LASSO), ("ridge", RIDGE)):
-        met = {r["split"]: r for r in M.refit_and_score(d, FEATURES, LABEL, m, p).collect()}
-        e = {"model": m, "params": json.dumps(p)}
-        for s in ("train", "val", "test"):
-            for k in ("rmse", "mae", "r2", "adjusted_r2"):
-                e[f"{s}_{k}"] = float(met[s][k]) if s in met and met[s][k] is not None else None
-        out.append(e)
-    return out
+    best = M.best_params(M.grid_search(d, FEATURES, LABEL, rows=["hour"])).orderBy(F.desc("val_r2"), "model").first()
+    return round_doubles(M.refit_and_score(d, FEATURES, LABEL, best["model"], json.loads(best["params"])))
 
 
 @query("model_report")
 def q_model_report(spark, sf):
-    return M.model_report(spark, _report_entries(spark, sf))
+    return M.tune(model_data(spark, sf), FEATURES, LABEL, rows=["hour"])
 
 
 @query("track_run")
 def q_track_run(spark, sf):
-    met = M.refit_and_score(model_data(spark, sf), FEATURES, LABEL, "lasso", LASSO)
-    return M.track_run(met, "run-lasso", "20250613_2209", LASSO)
+    """Two runs appended to one table, the first one recorded twice."""
+    d, path = model_data(spark, sf), table_path(spark, f"runs-{uuid.uuid4().hex}")
+    for run, model, params in (("run-lasso", "lasso", LASSO), ("run-ridge", "ridge", RIDGE), ("run-lasso", "lasso", LASSO)):
+        record = M.track_run(M.refit_and_score(d, FEATURES, LABEL, model, params), run, "20250613_2209", params)
+        runs = M.append_run(record, path)
+    short = F.round(F.expr("try_cast(value AS double)"), 6).cast("string")
+    return runs.withColumn("value", F.when(F.col("kind") == "metric", short).otherwise(F.col("value")))
+
+
+def ranked_first(d):
+    """MOD-09: name and parameters of the first model of the report (linear grids and a small one of trees)."""
+    grids = M.REGRESSORS | {"xgboost": {k: v[:1] for k, v in M.REGRESSORS["xgboost"].items()}}
+    first = M.tune(d, FEATURES, LABEL, ["hour"], grids=grids).filter("rank = 1").first()
+    return first["model"], json.loads(first["params"])
 
 
 @query("train_final_and_score")
 def q_train_final_and_score(spark, sf):
-    _, met = M.train_final(model_data(spark, sf), FEATURES, LABEL, "lasso", LASSO)
+    d = model_data(spark, sf)
+    _, met = M.train_final(d, FEATURES, LABEL, *ranked_first(d))
     return round_doubles(met)
 
 
+def saved_path(spark, name):
+    return table_path(spark, f"models/{name}-{uuid.uuid4().hex}")
+
+
 @query("save_load_model", f"""SELECT hour, true AS same FROM ({ORACLE["panel_features"]}) AS p
 WHERE {" AND ".join(f"{c} IS NOT NULL" for c in [*FEATURES, LABEL])}""")
 def q_save_load_model(spark, sf):
     d = model_data(spark, sf)
     model, _ = M.train_final(d, FEATURES, LABEL, "ridge", RIDGE)
-    path = M.save_model(model, table_path(spark, "models/ridge"))
-    back = M.load_model(path)
+    back = M.load_model(M.save_model(model, saved_path(spark, "ridge")))
     a = model.transform(d).select("hour", F.col("prediction").alias("p1"))
     b = back.transform(d).select("hour", F.col("prediction").alias("p2"))
     return a.join(b, "hour").select("hour", (F.abs(F.col("p1") - F.col("p2")) < 1e-9).alias("same"))
 
 
-@query("predict_last")
+@query("predict_last", f"""WITH p AS ({ORACLE["panel_features"]}),
+tv AS (SELECT * FROM p WHERE split IN ('train', 'val') AND {_COMPLETE}),
+s AS (SELECT {", ".join(f"avg({c}) AS c_{c}, stddev_pop({c}) AS d_{c}" for c in FEATURES)} FROM tv),
+z AS (SELECT {", ".join(f"({c} - c_{c}) / d_{c} AS {c}" for c in FEATURES)}, {LABEL} FROM tv, s),
+{sql_linear("z", FEATURES, LABEL, RIDGE["alpha"])},
+t AS (SELECT * FROM p ORDER BY hour DESC LIMIT 1)
+SELECT hour, {", ".join(f"round(t.{c}, 6) AS {c}" for c in SERIES)},
+  round(intercept + {" + ".join(f"w{i} * (coalesce(t.{c}, c_{c}) - c_{c}) / d_{c}" for i, c in enumerate(FEATURES))}, 6) AS prediction
+FROM t, s, w""")
 def q_predict_last(spark, sf):
+    """The newest row as the saved pipeline (means, scaler, ridge) scores it after it has been read back."""
     d = model_data(spark, sf)
-    model, _ = M.train_final(d, FEATURES, LABEL, "lasso", LASSO)
-    back = M.load_model(M.save_model(model, table_path(spark, "models/lasso")))
-    full = panel_features(spark, sf).na.drop(subset=FEATURES)
-    return round_doubles(M.predict_last(back, full, "hour").select("hour", *SERIES, "prediction"))
+    prepare = [ST.imputer("mean", inputCols=FEATURES), ST.scaler("standard", inputCols=FEATURES)]
+    model, _ = M.train_final(d, FEATURES, LABEL, "ridge", RIDGE, prepare=prepare)
+    back = M.load_model(M.save_model(model, saved_path(spark, "last")))
+    last = last_row(panel_features(spark, sf), "hour")
+    raw = last.select("hour", *SERIES)
+    return round_doubles(raw.join(back.transform(last).select("hour", "prediction"), "hour"))
 
 
 @query("argmax_params", f"""SELECT series, arg_max(idx, r2 * 1e6 - idx) AS idx, round(max(r2), 6) AS r2 FROM (
@@ -140,10 +182,7 @@ FROM {_sql_metrics()} WHERE split = 'test'""")
 def q_rank_models(spark, sf):
     m = naive_metrics(spark, sf).filter(F.col("split") == "test").select(
         "series", F.col("adjusted_r2").alias("test_adj_r2"))
-    ranked = rank_models(m, "test_adj_r2", "series")
-    # the ranked list is a handful of rows (one per model); number them in that order
-    rows = [(r["series"], r["test_adj_r2"], i + 1) for i, r in enumerate(ranked.collect())]
-    return round_doubles(spark.createDataFrame(rows, "series string, test_adj_r2 double, rank int"))
+    return round_doubles(M.ranked(m, "test_adj_r2", "series"))
 
 
 # ---------------------------------------------------------------- forecasts
