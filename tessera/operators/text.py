@@ -105,51 +105,3 @@ def daily_sentiment(scored: DataFrame, date: str = "date", key: str = "doc_id",
     null-skipping mean score."""
     from .panel import group_score_mean
     return group_score_mean(scored, date, text, score, [key])
-
-
-# ---------------------------------------------------------------- captured pages
-
-HREF = r'<a\s[^>]*href="([^"]*)"'
-PARAGRAPH = r"<p(?:\s[^>]*)?>(.*?)</p>"
-TAG = r"<[^>]+>"
-ARTICLE = r"(?s)<article[^>]*>(.*?)</article>"
-SITE = r"^(https?://[^/?#]+)"
-PUBLISHED = r"Published\s+([0-9]{2}-[0-9]{2}-[0-9]{4})"
-
-
-def extract_links(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    """SRC-06: every link target of a page, site-relative ones made absolute."""
-    ex = pages.select(key, url, F.explode(F.regexp_extract_all(F.col(html), F.lit(HREF), 1)).alias("href"))
-    site = F.regexp_extract(F.col(url), SITE, 1)
-    return ex.select(key, F.when(F.col("href").startswith("/"), F.concat(site, F.col("href")))
-                     .otherwise(F.col("href")).alias("link"))
-
-
-def extract_article(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
-    """SRC-07: non-empty paragraph texts of the article body joined by one blank, and
-    the publication date (``Published dd-MM-yyyy``) when the page has one."""
-    body = F.regexp_extract(F.col(html), ARTICLE, 1)
-    paras = F.transform(F.regexp_extract_all(body, F.lit(PARAGRAPH), 1),
-                        lambda p: F.trim(F.regexp_replace(p, TAG, "")))
-    pub = F.regexp_extract(F.col(html), PUBLISHED, 1)
-    return pages.select(key, X.join_paragraphs(paras).alias("article"),
-                        F.size(F.filter(paras, lambda p: p != "")).alias("n_paragraphs"),
-                        F.try_to_timestamp(F.nullif(pub, F.lit("")), F.lit("dd-MM-yyyy")).cast("date").alias("published"))
-
-
-def extract_price_table(pages: DataFrame, key: str = "page_id", html: str = "html",
-                        date_header: str = "Date", close_header: str = "Close") -> DataFrame:
-    """SRC-08: ``<tr>`` rows to cell texts; the first row is the header and names the
-    date and close positions; ``MMM d, yyyy`` dates and ``1,234.56`` numbers parsed."""
-    from ..functions.dates import HISTORY_DATE
-    from ..functions.numeric import parse_number
-    rows = F.regexp_extract_all(F.col(html), F.lit(r"(?s)<tr[^>]*>(.*?)</tr>"), 1)
-    cells = lambda r: F.transform(F.regexp_extract_all(r, F.lit(r"(?s)<t[dh][^>]*>(.*?)</t[dh]>"), 1),
-                                  lambda c: F.trim(F.regexp_replace(c, TAG, "")))
-    t = pages.select(key, F.posexplode(rows).alias("r", "row")).select(key, "r", cells(F.col("row")).alias("cells"))
-    head = t.filter(F.col("r") == 0).select(key, F.array_position("cells", date_header).alias("__di"),
-                                             F.array_position("cells", close_header).alias("__ci"))
-    body = t.filter(F.col("r") > 0).join(head, key, "inner")
-    return body.select(key, F.try_to_timestamp(F.element_at("cells", F.col("__di").cast("int")),
-                                               F.lit(HISTORY_DATE)).cast("date").alias("date"),
-                       parse_number(F.element_at("cells", F.col("__ci").cast("int"))).alias("close"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..operators import ordered as O
+from ..operators import pages as PG
 from ..operators import text as TX
 from ..operators.panel import group_score_mean, ordered_digest
 from .fixtures import SQL_DAILY_ORDERS, SQL_NEWS, daily_orders, news
@@ -102,15 +103,20 @@ def q_text_split_strip(spark, sf):
     return table(spark, sf, "documents").select("doc_id", X.nth_word(F.col("text"), 2).alias("word"))
 
 
-_PARAS = r"list_transform(regexp_extract_all(html, '<p(?:\s[^>]*)?>(.*?)</p>', 1), lambda p: trim(regexp_replace(p, '<[^>]+>', '', 'g')))"
+def _paras_sql(part: str) -> str:
+    """Texts of the paragraphs of ``part``: from each start tag to its end or to what ends it, without tags, entities decoded."""
+    own = rf"regexp_extract(p, '(?s)^(.*?)(?:</p>|</article>|</div>|<footer|<div|<h1|$)', 1)"
+    text = rf"regexp_replace(regexp_replace({own}, '<br>', ' ', 'g'), '<[^>]+>', '', 'g')"
+    for entity, char in (("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
+        text = f"replace({text}, '{entity}', '{char}')"
+    text = rf"trim(regexp_replace({text}, '\s+', ' ', 'g'))"
+    return rf"list_filter(list_transform(string_split_regex({part}, '<p(?:\s[^>]*)?>')[2:], lambda p: {text}), lambda p: p <> '')"
 
 
-@query("join_paragraphs", f"""SELECT page_id, array_to_string(list_filter({_PARAS}, lambda p: trim(p) <> ''), chr(10)) AS text FROM pages""")
+@query("join_paragraphs", f"""SELECT page_id, array_to_string({_paras_sql("html")}, chr(10)) AS text FROM pages""")
 def q_join_paragraphs(spark, sf):
-    p = table(spark, sf, "pages")
-    paras = F.transform(F.regexp_extract_all("html", F.lit(TX.PARAGRAPH), 1),
-                        lambda s: F.trim(F.regexp_replace(s, TX.TAG, "")))
-    return p.select("page_id", X.join_paragraphs(paras, "\n").alias("text"))
+    got = PG.paragraphs(table(spark, sf, "pages"), ["page_id"], within=())
+    return got.select("page_id", X.join_paragraphs(F.col("paragraphs"), "\n").alias("text"))
 
 
 @query("truncate_tokens", f"""SELECT doc_id, CAST(len(t[1:512]) AS INT) AS n_tokens, md5(array_to_string(t[1:512], '|')) AS tokens_md5
@@ -120,19 +126,17 @@ def q_truncate_tokens(spark, sf):
     return t.select("doc_id", F.size("t").alias("n_tokens"), F.md5(F.array_join("t", "|")).alias("tokens_md5"))
 
 
-@query("extract_links", r"""SELECT page_id, CASE WHEN href LIKE '/%' THEN regexp_extract(url, '^(https?://[^/?#]+)', 1) || href ELSE href END AS link
-FROM (SELECT page_id, url, unnest(regexp_extract_all(html, '<a\s[^>]*href="([^"]*)"', 1)) AS href FROM pages)""")
+@query("extract_links", r"""SELECT page_id, replace(CASE WHEN href LIKE '/%' THEN regexp_extract(url, '^(https?://[^/?#]+)', 1) || href ELSE href END, '&amp;', '&') AS link
+FROM (SELECT page_id, url, unnest(regexp_extract_all(regexp_extract(html, '(?s)<nav>(.*?)</nav>', 1), '<a\s[^>]*href="([^"]*)"', 1)) AS href FROM pages)""")
 def q_extract_links(spark, sf):
-    return TX.extract_links(table(spark, sf, "pages"))
+    return PG.extract_links(table(spark, sf, "pages"), within=(("nav", {}), ("ul", {})))
 
 
-@query("extract_article", r"""SELECT page_id, array_to_string(list_filter(ps, lambda p: trim(p) <> ''), ' ') AS article,
-  CAST(len(list_filter(ps, lambda p: p <> '')) AS INT) AS n_paragraphs,
-  CAST(CAST(try_strptime(nullif(regexp_extract(html, 'Published\s+([0-9]{2}-[0-9]{2}-[0-9]{4})', 1), ''), '%d-%m-%Y') AS DATE) AS TIMESTAMP) AS published
-FROM (SELECT page_id, html, list_transform(regexp_extract_all(regexp_extract(html, '(?s)<article[^>]*>(.*?)</article>', 1),
-   '<p(?:\s[^>]*)?>(.*?)</p>', 1), lambda p: trim(regexp_replace(p, '<[^>]+>', '', 'g'))) AS ps FROM pages)""")
+@query("extract_article", rf"""SELECT page_id, array_to_string(ps, ' ') AS article, CAST(len(ps) AS INT) AS n_paragraphs,
+  CAST(CAST(try_strptime(nullif(regexp_extract(html, 'Published\s+([0-9]{{2}}-[0-9]{{2}}-[0-9]{{4}})', 1), ''), '%d-%m-%Y') AS DATE) AS TIMESTAMP) AS published
+FROM (SELECT page_id, html, {_paras_sql("regexp_extract(html, '(?s)<article[^>]*>(.*?)</article>', 1)")} AS ps FROM pages)""")
 def q_extract_article(spark, sf):
-    return TX.extract_article(table(spark, sf, "pages"))
+    return PG.extract_article(table(spark, sf, "pages"))
 
 
 def price_pages(spark, sf):
@@ -150,7 +154,7 @@ def price_pages(spark, sf):
 @query("extract_price_table", f"""WITH {SQL_DAILY_ORDERS}
 SELECT CAST(strftime(date, '%Y%m') AS BIGINT) AS page_id, date, value AS close FROM daily""")
 def q_extract_price_table(spark, sf):
-    return TX.extract_price_table(price_pages(spark, sf))
+    return PG.extract_price_table(price_pages(spark, sf))
 
 
 def lexicon(spark, sf):
