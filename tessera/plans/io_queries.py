@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-import os
-import time
+import datetime
 import uuid
 
 from pyspark.sql import functions as F
 
 from ..functions import dates as D
 from ..functions import numeric as N
+from ..operators import pages as PG
 from ..session import table_path
+from ..sources import captured as CP
 from ..sources import files as IO
-from ..streaming import ingest as ST
+from ..sources.snapshots import Snapshots
+from ..streaming import keyed as KY
 from .fixtures import SERIES, SQL_DAILY_ORDERS, SQL_HOURLY_PANEL, SQL_NEWS, daily_orders, hourly_panel, news
 from .quality_queries import CUT, _cells, _sql_metrics, naive_metrics
 from .registry import query, round_doubles, table
@@ -144,15 +146,14 @@ def q_kv_upsert(spark, sf):
 UNION ALL SELECT 'previous', series, split, round(r2, 6) FROM {_sql_metrics()}
 UNION ALL SELECT 'new', series, split, round(r2, 6) FROM {_sql_metrics()}""")
 def q_rotate_snapshots(spark, sf):
-    base = _scratch(spark, "snapshots")
+    versions = Snapshots(spark, _scratch(spark, "snapshots"))
     cols = ["series", "split", "r2"]
-    IO.overwrite_table(naive_metrics(spark, sf, "2024-01-08").select(*cols), f"{base}/ref")
-    IO.overwrite_table(naive_metrics(spark, sf, CUT).select(*cols), f"{base}/previous")
-    IO.overwrite_table(naive_metrics(spark, sf).select(*cols), f"{base}/new")
-    IO.rotate_snapshots(spark, base)
+    for part, upto in (("ref", "2024-01-08"), ("previous", CUT), ("new", None)):
+        versions.put(naive_metrics(spark, sf, *([upto] if upto else [])).select(*cols), part)
+    versions.rotate()
     out = None
-    for s in ("ref", "previous", "new"):
-        d = spark.read.parquet(f"{base}/{s}").withColumn("snapshot", F.lit(s))
+    for part in ("ref", "previous", "new"):
+        d = versions.read(part).withColumn("snapshot", F.lit(part))
         out = d if out is None else out.unionByName(d)
     return round_doubles(out.select("snapshot", *cols))
 
@@ -167,37 +168,45 @@ def _daily_purchase(spark, sf):
 @query("incremental_ingest", """SELECT CAST(CAST(ts AS DATE) AS TIMESTAMP) AS date, arg_max(value, ts) AS price
 FROM events WHERE event_type = 'purchase' GROUP BY 1""")
 def q_incremental_ingest(spark, sf):
+    """History to 10 January; then the days behind it as captured folders, and a late row that sends day 5 again with another
+    price, taken in two runs of one stream."""
     base = _scratch(spark, "ingest")
     d = _daily_purchase(spark, sf)
-    # history: the first 10 days; then one file per later day, arriving in date order,
-    # and a late file re-sending day 5 with another price (ignored: below the mark)
-    ST.write_history(d.filter(F.col("date") <= "2024-01-10"), f"{base}/target")
-    days = [r["date"] for r in d.filter(F.col("date") > "2024-01-10").select("date").distinct().orderBy("date").collect()]
-    t0 = time.time() - 10 * len(days) - 100
-    src = f"{base}/incoming"
-    for i, day in enumerate(days):
-        p = f"{src}/day={i:04d}"
-        d.filter(F.col("date") == F.lit(day)).coalesce(1).write.mode("overwrite").parquet(p)
-        local = p[len("file:"):] if p.startswith("file:") else p
-        if os.path.isdir(local):  # local test store: make arrival order explicit
-            for f in os.listdir(local):
-                os.utime(os.path.join(local, f), (t0 + 10 * i, t0 + 10 * i))
-    late = f"{src}/day=9999"
-    d.filter(F.col("date") == "2024-01-05").withColumn("price", F.lit(-1.0)).coalesce(1).write.mode("overwrite").parquet(late)
-    out = ST.incremental_ingest(spark, f"{src}/*", "date date, price double", f"{base}/target", f"{base}/chk",
-                                as_of="2024-02-01", files_per_trigger=3)
+    KY.write_history(d.filter(F.col("date") <= "2024-01-10"), f"{base}/target", [], "date", "price")
+    late = d.filter(F.col("date") == "2024-01-05").select(F.lit("2024-01-25").cast("date").alias("captured"), "date", F.lit(-1.0).alias("price"))
+    rows = d.filter(F.col("date") > "2024-01-10").select(F.col("date").alias("captured"), "date", "price").unionByName(late)
+    CP.land(rows.withColumn("pos", F.lit(0).cast("long")), f"{base}/incoming")
+    CP.register(spark)
+    for seen in ("2024-01-20", "2024-02-10"):
+        stream = (spark.readStream.format("captured").schema("captured date, date date, price double, pos long").option("as_of", seen)
+                  .load(f"{base}/incoming"))
+        out = KY.ingest_days(stream, f"{base}/target", f"{base}/chk", [], "date", "price", "pos", datetime.date(2024, 2, 10))
     return out.select("date", "price")
 
 
+@query("captured_pages", f"""WITH {SQL_DAILY_ORDERS} SELECT date, round_even(value, 2) AS close FROM daily""")
+def q_captured_pages(spark, sf):
+    """Price pages captured by month: those behind the stored days are read with the day filter pushed, parsed and merged."""
+    from .text_queries import price_pages
+    path = _scratch(spark, "captured")
+    month = F.to_date(F.col("page_id").cast("string"), "yyyyMM")
+    CP.land(price_pages(spark, sf).select(F.last_day(month).alias("captured"), "page_id", F.lit("u").alias("url"), "html"), path)
+    old = daily_orders(spark, sf).filter(F.col("date") <= "1998-12-31").withColumnRenamed("value", "close")
+    source = CP.CapturedDays(path, lambda p: PG.extract_price_table(p).select("date", "close"))
+    return CP.update(old, source, main="close")
+
+
 @query("daily_sentiment_stream", f"""WITH {SQL_NEWS}
 SELECT date, round(avg(d.n_chars / 1000.0), 6) AS mean_score, count(*) AS n FROM news JOIN documents d USING (doc_id) GROUP BY date""")
 def q_daily_sentiment_stream(spark, sf):
     base = _scratch(spark, "news-stream")
     n = news(spark, sf).join(table(spark, sf, "documents").select("doc_id", "n_chars"), "doc_id")
-    n.select(F.col("date").cast("timestamp_ntz").alias("ts"), (F.col("n_chars") / 1000.0).alias("score")) \
-        .repartition(4).write.mode("overwrite").parquet(f"{base}/in")
-    out = ST.daily_sentiment_stream(spark, f"{base}/in", "ts timestamp_ntz, score double", f"{base}/target",
-                                    f"{base}/chk")
+    rows = n.select(F.to_date("date").alias("captured"), F.col("date").cast("timestamp").alias("ts"), (F.col("n_chars") / 1000.0).alias("score"))
+    CP.land(rows.repartition("captured"), f"{base}/in")
+    CP.register(spark)
+    for seen in ("2024-01-15", "2024-02-10"):
+        stream = (spark.readStream.format("captured").schema("captured date, ts timestamp, score double").option("as_of", seen).load(f"{base}/in"))
+        out = KY.daily_scores(stream, f"{base}/target", f"{base}/chk")
     return round_doubles(out)
 
 

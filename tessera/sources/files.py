@@ -1,5 +1,5 @@
 """Scans and sinks: CSV with a written row index, SQL over stored tables,
-list columns as text, table overwrite, snapshot rotation, key/value upsert."""
+list columns as text, table overwrite, key/value upsert."""
 
 from __future__ import annotations
 
@@ -87,13 +87,3 @@ def kv_upsert(existing: DataFrame | None, new: DataFrame, key: str = "name", val
         return new.select(key, F.col("__new").alias(value))
     old = existing.select(key, F.col(value).cast("double").alias("__old"))
     return old.join(new, key, "full").select(key, F.coalesce("__new", "__old").alias(value))
-
-
-def rotate_snapshots(spark: SparkSession, base: str, fmt: str = "parquet") -> None:
-    """SNK-05: three versions ``ref``, ``previous``, ``new``: previous -> ref, then
-    new -> previous (every table is carried, the CSV included)."""
-    for src, dst in (("previous", "ref"), ("new", "previous")):
-        df = spark.read.format(fmt).load(f"{base}/{src}")
-        tmp = f"{base}/.{dst}.tmp"
-        df.write.mode("overwrite").format(fmt).save(tmp)
-        spark.read.format(fmt).load(tmp).write.mode("overwrite").format(fmt).save(f"{base}/{dst}")

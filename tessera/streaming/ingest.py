@@ -1,12 +1,5 @@
-"""Structured Streaming forms of the incremental pull.
-
-STR-01: new daily rows land as files; each micro-batch keeps rows dated after the
-stored high-water mark and not after ``as_of - 1 day`` (late rows are ignored), merges
-them into the target by date (last wins, SET-03) and writes the next table version.
-Replaying a batch changes nothing: the target is keyed by date.
-
-STR-02: scored news per day as a windowed aggregate with a watermark; update mode
-through ``foreachBatch`` so the newest day is also written.
+"""Batch form of the incremental pull: rows dated after the stored high-water mark and not after
+``as_of - 1 day`` are merged into a month-partitioned table. ``keyed`` holds the streams.
 """
 
 from __future__ import annotations
@@ -14,31 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.panel import dedupe_keep_last, union_all
-
-
-def latest_version(spark: SparkSession, target: str) -> DataFrame | None:
-    versions = _versions(spark, target)
-    if not versions:
-        return None
-    return spark.read.parquet(f"{target}/v{versions[-1]:09d}")
-
-
-def _versions(spark: SparkSession, target: str) -> list[int]:
-    """Committed versions (``v<n>/_SUCCESS``) through the Hadoop file system, so the
-    same code runs on a shared cluster store."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(target)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return []
-    out = []
-    for st in fs.listStatus(path):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("v") and name[1:].isdigit() and \
-                fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append(int(name[1:]))
-    return sorted(out)
+from ..operators.panel import dedupe_keep_last
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -69,39 +38,3 @@ def write_history(df: DataFrame, target: str, date: str = "date") -> None:
     """Seed the target table (month partitions) with existing history."""
     (df.withColumn("__month", F.date_format(F.col(date), "yyyy-MM"))
      .write.mode("overwrite").partitionBy("__month").parquet(target))
-
-
-def incremental_ingest(spark: SparkSession, source_dir: str, schema, target: str, checkpoint: str,
-                       date: str = "date", as_of=None, files_per_trigger: int = 1) -> DataFrame:
-    """STR-01: run the file-source stream to completion (``availableNow``); return the
-    target table."""
-    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
-              .parquet(source_dir))
-    q = (stream.writeStream.foreachBatch(lambda b, e: merge_batch(spark, b, target, date, as_of, e))
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.parquet(target).drop("__month")
-
-
-def daily_sentiment_stream(spark: SparkSession, source_dir: str, schema, target: str, checkpoint: str,
-                           ts: str = "ts", score: str = "score", watermark: str = "1 day") -> DataFrame:
-    """STR-02: per-day mean score and count with a watermark; each micro-batch's
-    updated days replace their rows in the target (written as a new version)."""
-    stream = spark.readStream.schema(schema).parquet(source_dir)
-    agg = (stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, watermark)
-           .groupBy(F.window(ts, "1 day").alias("w"))
-           .agg(F.avg(score).alias("mean_score"), F.count(F.lit(1)).alias("n"))
-           .select(F.to_date(F.col("w.start")).alias("date"), "mean_score", "n"))
-
-    def upsert(batch: DataFrame, epoch: int) -> None:
-        cur = latest_version(spark, target)
-        upd = batch.withColumn("__b", F.lit(1))
-        both = upd if cur is None else union_all(cur.withColumn("__b", F.lit(0)), upd)
-        merged = dedupe_keep_last(both, ["date"], ["__b"]).drop("__b")
-        nxt = (_versions(spark, target)[-1] + 1) if _versions(spark, target) else 0
-        merged.write.mode("overwrite").parquet(f"{target}/v{nxt:09d}")
-
-    q = (agg.writeStream.outputMode("update").foreachBatch(upsert)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination()
-    return latest_version(spark, target)
