@@ -70,6 +70,27 @@ def group_score_mean(df: DataFrame, key: str, text: str, score: str, order: Sequ
     return items, means
 
 
+def parts_digest(items: DataFrame, key: str, value: str, name: str, part: int = 1000) -> DataFrame:
+    """One md5 per key over its values in order of ``position``: each value's md5 (null: empty), the md5 of ``part`` of them joined, and
+    the md5 of the parts' joined. A group holds ``part`` hashes, so a key of any size is spread over tasks."""
+    rows = items.select(key, ((F.col("position") - 1) / part).cast("long").alias("__part"), "position",
+                        F.coalesce(F.md5(F.col(value).cast("string")), F.lit("")).alias("__h"))
+
+    def joined(order: str, what: str):
+        return F.md5(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, what))), lambda x: x[what]), ""))
+
+    parts = rows.groupBy(key, "__part").agg(joined("position", "__h").alias("__h"))
+    return parts.groupBy(key).agg(joined("__part", "__h").alias(name))
+
+
+def parts_digest_sql(rows: str, key: str, value: str, order: str, name: str, part: int = 1000) -> str:
+    """DuckDB text of ``parts_digest`` over the table ``rows``."""
+    return f"""(SELECT {key}, md5(string_agg(m, '' ORDER BY part)) AS {name} FROM (
+  SELECT {key}, part, md5(string_agg(h, '' ORDER BY rn)) AS m FROM (
+    SELECT {key}, rn, (rn - 1) // {part} AS part, coalesce(md5({value}), '') AS h FROM (
+      SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY {order}) AS rn FROM {rows})) GROUP BY ALL) GROUP BY {key})"""
+
+
 def ordered_digest(items: DataFrame, key: str, value: str, sep: str, name: str) -> DataFrame:
     """md5 per key of the non-null texts ``value`` in order of ``position``, joined by ``sep``.
 

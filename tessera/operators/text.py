@@ -6,10 +6,12 @@ the driver or by one task."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import zlib
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
@@ -23,7 +25,7 @@ def tokens_of(df: DataFrame, text: str, name: str = "tokens", stopwords: bool =
     """STX-01..03: clean, tokenize, drop stop words (the JVM ``StopWordsRemover`` with
     the fixed list: a hash lookup per token)."""
     from pyspark.ml.feature import StopWordsRemover
-    out = df.withColumn(name, X.tokenize(X.clean_text(F.col(text))))
+    out = df.withColumn(name, F.coalesce(X.tokenize(X.clean_text(F.col(text))), F.array().cast("array<string>")))  # null text: none
     if not stopwords:
         return out
     rm = StopWordsRemover(inputCol=name, outputCol="__sw", stopWords=list(X.STOP_WORDS), caseSensitive=True)
@@ -83,11 +85,12 @@ def word_lexicon(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
 
 def score_texts(df: DataFrame, key: str, text: str = "text", lexicon: DataFrame | None = None,
                 scorer: Callable[[pd.Series], pd.Series] | None = None, name: str = "score",
-                max_tokens: int | None = None) -> DataFrame:
+                max_tokens: int | None = None, broadcast_words: int = 500_000) -> DataFrame:
     """SEN-01: a score per text. With ``scorer`` (pandas Series of texts -> Series of
-    scores, e.g. a model loaded once per task) it runs as an Arrow-batched pandas UDF;
+    scores) it runs as an Arrow-batched pandas UDF (``score_with_model`` loads a model once a task instead);
     with ``lexicon`` (word, weight) it is the mean weight of the tokens that the lexicon
-    knows (null when none), of the first ``max_tokens`` only if a limit is asked for."""
+    knows (null when none), of the first ``max_tokens`` only if a limit is asked for. A lexicon of at most
+    ``broadcast_words`` words (counted) is sent to the texts; beyond, their tokens are joined to it by word."""
     if scorer is not None:
         udf = F.pandas_udf(scorer, "double")
         return df.withColumn(name, udf(F.col(text)))
@@ -95,10 +98,86 @@ def score_texts(df: DataFrame, key: str, text: str = "text", lexicon: DataFrame
     if max_tokens is not None:
         t = t.withColumn("tokens", X.truncate_tokens(F.col("tokens"), max_tokens))
     ex = t.select(key, F.explode("tokens").alias("word"))
-    s = ex.join(lexicon, "word", "inner").groupBy(key).agg(F.avg("weight").alias(name))
+    words = lexicon.checkpoint(eager=True)  # learned once, counted and joined
+    small = words.count() <= broadcast_words
+    s = ex.join(F.broadcast(words) if small else words, "word").groupBy(key).agg(F.avg("weight").alias(name))
     return df.join(s, key, "left")
 
 
+def score_with_model(df: DataFrame, key: str, load: Callable[[], Callable[[list[list[str]]], np.ndarray]], tokens: str = "tokens",
+                     name: str = "score", window: int = 512, every: bool = False, budget: int = 16_384) -> DataFrame:
+    """SEN-01 with a model: ``load`` is called once a task and gives a function from windows (lists of at most ``window`` tokens) to
+    scores. A text's score is that of its first window or (``every``) the mean over all its windows by their tokens; null without tokens.
+    Windows of an Arrow batch go to the model sorted by length, so that a call's windows times the longest stay within ``budget`` tokens:
+    calls cost alike and hardly pad."""
+    @F.pandas_udf("double")
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        model = load()
+        for texts in batches:
+            windows, owner = [], []
+            for i, words in enumerate(texts):
+                words = [] if words is None else list(words)
+                for at in range(0, len(words) if every else min(len(words), 1), window):
+                    windows.append(words[at:at + window])
+                    owner.append(i)
+            sizes = np.array([len(w) for w in windows], dtype=int)
+            got = np.zeros(len(windows))
+            order = np.argsort(-sizes, kind="stable")
+            at = 0
+            while at < len(order):
+                call = order[at:at + max(1, budget // sizes[order[at]])]
+                got[call] = model([windows[k] for k in call])
+                at += len(call)
+            owner = np.array(owner, dtype=int)
+            weight = np.bincount(owner, sizes, len(texts))
+            total = np.bincount(owner, got * sizes, len(texts))
+            yield pd.Series(np.where(weight > 0, total / np.maximum(weight, 1), np.nan)).where(weight > 0, None).astype("Float64")
+
+    return df.withColumn(name, F.nanvl(score(F.col(tokens)), F.lit(None).cast("double")))
+
+
+def fit_word_model(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", size: int = 1 << 14,
+                   reg: float = 1e-3) -> tuple[np.ndarray, float]:
+    """A logistic regression over hashed words (their share in the text), fitted by Spark on the labelled documents:
+    ``size`` weights and the intercept."""
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import CountVectorizer, Normalizer
+    own = docs.join(labels.select(key, F.col(label).cast("double").alias("label")).filter("label is not null"), key)
+    toks = tokens_of(own.select(key, "label", text), text).filter(F.size("tokens") > 0)
+    places = F.transform("tokens", lambda w: F.pmod(F.crc32(w.cast("binary")), F.lit(size)).cast("string"))
+    rows = toks.select("label", places.alias("places")).checkpoint(eager=True)  # read by each pass of the fit
+    counter = CountVectorizer(inputCol="places", outputCol="counts", vocabSize=size).fit(rows)
+    shares = Normalizer(inputCol="counts", outputCol="features", p=1.0).transform(counter.transform(rows)).select("label", "features")
+    fit = LogisticRegression(regParam=reg, maxIter=50, standardization=False).fit(shares)
+    weights = np.zeros(size)
+    weights[[int(v) for v in counter.vocabulary]] = fit.coefficients.toArray()  # at most ``size`` places
+    return weights, float(fit.intercept)
+
+
+def word_model(spark, weights: np.ndarray, intercept: float) -> Callable[[], Callable[[list[list[str]]], np.ndarray]]:
+    """A loader for ``score_with_model``: the weights are broadcast (their number is the model's); scores lie in -1 to 1."""
+    shared = spark.sparkContext.broadcast((weights, intercept))
+
+    def load() -> Callable[[list[list[str]]], np.ndarray]:
+        w, b = shared.value
+        known: dict[str, float] = {}
+
+        def score(windows: list[list[str]]) -> np.ndarray:
+            out = np.empty(len(windows))
+            for i, words in enumerate(windows):
+                for x in words:
+                    if x not in known:
+                        known[x] = w[zlib.crc32(x.encode()) % len(w)]
+                out[i] = np.tanh((b + sum(known[x] for x in words) / len(words)) / 2)  # 2 p - 1
+                if len(known) > 1_000_000:
+                    known.clear()
+            return out
+
+        return score
+
+    return load
+
+
 def daily_sentiment(scored: DataFrame, date: str = "date", key: str = "doc_id", text: str = "text",
                     score: str = "score") -> tuple[DataFrame, DataFrame]:
     """SEN-02 / AGG-02 / AGG-03: per date the texts and scores (rows, in key order), and the

@@ -49,23 +49,26 @@ def q_scan_table_sql(spark, sf):
 _SOURCES = f"""WITH {SQL_NEWS}, d AS (SELECT n.date, n.doc_id, documents.source FROM news n JOIN documents USING (doc_id))"""
 
 
+def _source_lists(spark, sf):
+    """The sources of a day's documents in lists of at most 100 (a day's documents are 30 ids apart)."""
+    n = news(spark, sf).join(table(spark, sf, "documents").select("doc_id", "source"), "doc_id")
+    own = F.array_sort(F.collect_list(F.struct("doc_id", "source"))).getField("source")
+    return n.groupBy("date", F.floor(F.col("doc_id") / 3000).cast("long").alias("part")).agg(own.alias("sources"))
+
+
 @query("decode_list_columns", f"""{_SOURCES}
-SELECT date, CAST(count(*) AS INT) AS n, string_agg(source, '|' ORDER BY doc_id) AS sources FROM d GROUP BY date""")
+SELECT date, doc_id // 3000 AS part, CAST(count(*) AS INT) AS n, string_agg(source, '|' ORDER BY doc_id) AS sources FROM d GROUP BY ALL""")
 def q_decode_list_columns(spark, sf):
-    n = news(spark, sf).join(table(spark, sf, "documents").select("doc_id", "source"), "doc_id")
-    srt = F.array_sort(F.collect_list(F.struct("doc_id", "source"))).getField("source")
     # the list as Python prints it: ['src0', 'src1']
-    txt = n.groupBy("date").agg(F.concat(F.lit("['"), F.array_join(srt, "', '"), F.lit("']")).alias("sources"))
+    txt = _source_lists(spark, sf).withColumn("sources", F.concat(F.lit("['"), F.array_join("sources", "', '"), F.lit("']")))
     back = IO.decode_list_columns(txt, {"sources": "string"})
-    return back.select("date", F.size("sources").alias("n"), F.array_join("sources", "|").alias("sources"))
+    return back.select("date", "part", F.size("sources").alias("n"), F.array_join("sources", "|").alias("sources"))
 
 
 @query("encode_list_columns", f"""{_SOURCES}
-SELECT date, CAST(to_json(list(source ORDER BY doc_id)) AS VARCHAR) AS sources FROM d GROUP BY date""")
+SELECT date, doc_id // 3000 AS part, CAST(to_json(list(source ORDER BY doc_id)) AS VARCHAR) AS sources FROM d GROUP BY ALL""")
 def q_encode_list_columns(spark, sf):
-    n = news(spark, sf).join(table(spark, sf, "documents").select("doc_id", "source"), "doc_id")
-    g = n.groupBy("date").agg(F.array_sort(F.collect_list(F.struct("doc_id", "source"))).getField("source").alias("sources"))
-    return IO.encode_list_columns(g)
+    return IO.encode_list_columns(_source_lists(spark, sf))
 
 
 @query("overwrite_table", f"WITH {SQL_DAILY_ORDERS} SELECT date, value FROM daily")

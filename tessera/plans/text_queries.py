@@ -8,7 +8,7 @@ from ..functions import text as X
 from ..operators import ordered as O
 from ..operators import pages as PG
 from ..operators import text as TX
-from ..operators.panel import group_score_mean, ordered_digest
+from ..operators.panel import group_score_mean, parts_digest, parts_digest_sql
 from .fixtures import SQL_DAILY_ORDERS, SQL_NEWS, daily_orders, news
 from .registry import query, round_doubles, table
 
@@ -174,27 +174,32 @@ def q_score_texts(spark, sf):
     return round_doubles(s.select("doc_id", "score"))
 
 
-@query("daily_sentiment", f"""WITH {SQL_NEWS}, {_LEX_SQL}
-SELECT date, CAST(count(*) AS INT) AS n_news, round(avg(round(score, 6)), 6) AS mean_sentiment_score,
-  md5(string_agg(coalesce(CAST(round(score, 6) AS VARCHAR), 'null'), '|' ORDER BY doc_id)) AS scores_md5
-FROM news LEFT JOIN sc USING (doc_id) GROUP BY date""")
+@query("score_texts_model")
+def q_score_texts_model(spark, sf):
+    """Every document scored by a fitted model, whole texts in windows of 512 tokens."""
+    d = table(spark, sf, "documents").select("doc_id", "text")
+    load = TX.word_model(spark, *TX.fit_word_model(d, table(spark, sf, "labels")))
+    return round_doubles(TX.score_with_model(TX.tokens_of(d, "text"), "doc_id", load, every=True).select("doc_id", "score"))
+
+
+@query("daily_sentiment", f"""WITH {SQL_NEWS}, {_LEX_SQL},
+own AS (SELECT date, doc_id, round(score, 6) AS score, coalesce(CAST(round(score, 6) AS VARCHAR), 'null') AS said FROM news LEFT JOIN sc USING (doc_id))
+SELECT date, CAST(count(*) AS INT) AS n_news, round(avg(score), 6) AS mean_sentiment_score, any_value(scores_md5) AS scores_md5
+FROM own JOIN {parts_digest_sql("own", "date", "said", "doc_id", "scores_md5")} USING (date) GROUP BY date""")
 def q_daily_sentiment(spark, sf):
-    # tokenize the corpus once; the lexicon and the scores both read these tokens
-    toks = TX.tokens_of(table(spark, sf, "documents").select("doc_id", "text"), "text").checkpoint(eager=True)
-    lex = TX.word_lexicon(toks, table(spark, sf, "labels"))
-    n = news(spark, sf).join(toks.select("doc_id", "tokens"), "doc_id")
-    s = TX.score_texts(n, "doc_id", lexicon=lex).drop("tokens").withColumn("score", F.round("score", 6))
-    items, means = TX.daily_sentiment(s)
-    items = items.withColumn("sentiment_score", F.coalesce(F.col("sentiment_score").cast("string"), F.lit("null")))
+    s = TX.score_texts(news(spark, sf), "doc_id", lexicon=lexicon(spark, sf)).drop("text").withColumn("score", F.round("score", 6))
+    s = s.withColumn("said", F.coalesce(F.col("score").cast("string"), F.lit("null")))
+    items, means = TX.daily_sentiment(s, text="said")
     means = means.select("date", F.col("n_news").cast("int").alias("n_news"), "mean_sentiment_score")
-    return round_doubles(O._join(means, ordered_digest(items, "date", "sentiment_score", "|", "scores_md5"), ["date"]))
+    return round_doubles(O._join(means, parts_digest(items, "date", "news", "scores_md5"), ["date"]))
 
 
 @query("group_score_mean", f"""WITH {SQL_NEWS}, {_LEX_SQL}
-SELECT date, round(avg(score), 6) AS mean_sentiment_score, md5(string_agg(text, chr(31) ORDER BY doc_id)) AS news_md5
-FROM news LEFT JOIN sc USING (doc_id) GROUP BY date""")
+SELECT date, round(avg(score), 6) AS mean_sentiment_score, any_value(news_md5) AS news_md5
+FROM news LEFT JOIN sc USING (doc_id) JOIN {parts_digest_sql("(SELECT date, doc_id, md5(text) AS h FROM news)", "date", "h", "doc_id", "news_md5")} USING (date)
+GROUP BY date""")
 def q_group_score_mean(spark, sf):
-    s = TX.score_texts(news(spark, sf), "doc_id", lexicon=lexicon(spark, sf))
+    # only hashes of the texts are asked for, so only hashes are put in order
+    s = TX.score_texts(news(spark, sf), "doc_id", lexicon=lexicon(spark, sf)).withColumn("text", F.md5("text"))
     items, means = group_score_mean(s, "date", "text", "score", ["doc_id"])
-    means = means.select("date", "mean_sentiment_score")
-    return round_doubles(O._join(means, ordered_digest(items, "date", "news", "\u001f", "news_md5"), ["date"]))
+    return round_doubles(O._join(means.select("date", "mean_sentiment_score"), parts_digest(items, "date", "news", "news_md5"), ["date"]))
