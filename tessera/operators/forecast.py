@@ -251,6 +251,7 @@ def forecast_all(df: DataFrame, value: str, keys=(), order="date", z: float | No
     """FOR-05: the four forecasts, an optional model prediction, ``last_value`` and the
     average (over everything but ``last_value``), as one ``(keys, name, forecast)`` table."""
     keys = list(keys)
+    df = df.select(*keys, *O._as_list(order), value).checkpoint(eager=True)  # four fits read the series several times
     parts = [ar_forecast(df, value, keys, order), gbm_forecast(df, value, keys, order, z=z),
              trend_seasonal_forecast(df, value, keys, order), var_forecast(df, value, keys, order).drop("lag_order")]
     if model is not None:
@@ -258,5 +259,5 @@ def forecast_all(df: DataFrame, value: str, keys=(), order="date", z: float | No
     f = parts[0]
     for p in parts[1:]:
         f = f.unionByName(p)
-    f = f.unionByName(last_value(df, value, keys, order))
+    f = f.unionByName(last_value(df, value, keys, order)).checkpoint(eager=True)  # a few rows a key; the mean reads them again
     return f.unionByName(ensemble_mean(f, keys))

@@ -57,11 +57,16 @@ def _number(df: DataFrame, order: str) -> Column | None:
         return F.unix_micros(F.col(order).cast("timestamp")).cast("double")
     if isinstance(dtype, T.NumericType):
         return F.col(order).cast("double")
-    if isinstance(dtype, T.StringType):
-        return F.unix_micros(F.try_to_timestamp(F.col(order))).cast("double")
     return None
 
 
+def _sampled_cuts(df: DataFrame, value: Column, parts: int, rows: int) -> list:
+    """``parts - 1`` cuts of any orderable value (text, binary, truth values), ascending, from about 20 sampled rows a part."""
+    own = df.select(value.alias("v")).filter(F.col("v").isNotNull())
+    sample = sorted(r["v"] for r in own.sample(min(1.0, 20 * parts / max(rows, 1)), seed=17).collect())
+    return [sample[len(sample) * k // parts] for k in range(1, parts)] if sample else []
+
+
 def _place(value: Column, bounds: list[float]) -> Column:
     """Number of ascending bounds at or below ``value``, in two short steps instead of one long one."""
     size = max(1, math.isqrt(len(bounds)))
@@ -83,22 +88,27 @@ def row_buckets(df: DataFrame, order, rows: int = ROWS) -> Column:
     single value of the first one holds more than ``rows``); at most ``MOST_BUCKETS`` bounds
     come to the driver. Compute it once and hand it to several operators of one table."""
     order = _as_list(order)
-    value = _number(df, order[0])
-    if value is None:
-        return F.lit(0)
-    parts = min(MOST_BUCKETS, math.ceil(df.count() / rows))
+    n = df.count()
+    parts = min(MOST_BUCKETS, math.ceil(n / rows))
     if parts < 2:
         return F.lit(0)
-    cuts = _quantiles(df, value, parts)
+    value = _number(df, order[0])
+    if value is not None:
+        cuts = _quantiles(df, value, parts)
+    else:  # text is cut where its own order is, whatever it holds
+        value = F.col(order[0])
+        cuts = _sampled_cuts(df, value, parts, n)
     bounds = sorted(set(cuts))
     bucket = _place(value, bounds) if bounds else F.lit(0)
     hot = [x for x in bounds if cuts.count(x) > 1]
-    second = _number(df, order[1]) if hot and len(order) > 1 else None
-    if second is None:
+    if not hot or len(order) < 2:
         return bucket
+    number = _number(df, order[1])
+    second = F.col(order[1]) if number is None else number
     inner = F.lit(0)
     for x in hot:
-        own = sorted(set(_quantiles(df.filter(value == x), second, cuts.count(x) + 1)))
+        same, pieces = df.filter(value == x), cuts.count(x) + 1
+        own = sorted(set(_quantiles(same, number, pieces) if number is not None else _sampled_cuts(same, second, pieces, pieces * rows)))
         if own:  # a hot value opens its bucket; what follows it there comes after all its parts
             later = [y for y in bounds if y > x]
             behind = value > x if not later else (value > x) & (value < later[0])

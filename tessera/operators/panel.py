@@ -9,6 +9,7 @@ from collections.abc import Iterator, Sequence
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import ordered as O
 
@@ -134,14 +135,24 @@ def distinct_rows(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
+def _comparable(df: DataFrame, cols: Sequence[str]) -> list[str]:
+    """The columns that can break a tie: all that have an order."""
+    def ordered(kind: T.DataType) -> bool:
+        if isinstance(kind, T.StructType):
+            return all(ordered(f.dataType) for f in kind.fields)
+        return ordered(kind.elementType) if isinstance(kind, T.ArrayType) else not isinstance(kind, (T.MapType, T.VariantType))
+    return [c for c in cols if ordered(df.schema[c].dataType)]
+
+
 def dedupe_keep_last(df: DataFrame, key: Sequence[str] | str, ingest_order: Sequence[str] | str
                      ) -> DataFrame:
-    """AGG-12: one row per key, the latest by ingest order wins. A ``max_by`` aggregate,
-    so a hot key is reduced map-side instead of being sorted in one task."""
+    """AGG-12: one row per key, the latest by ingest order wins; of rows with equal order the one that is
+    largest in its other columns. A ``max_by`` aggregate, so a hot key is reduced map-side instead of being sorted in one task."""
     key = [key] if isinstance(key, str) else list(key)
     io = [ingest_order] if isinstance(ingest_order, str) else list(ingest_order)
     rest = [c for c in df.columns if c not in key]
-    packed = df.groupBy(*key).agg(F.max_by(F.struct(*rest), F.struct(*io)).alias("__r"))
+    tie = _comparable(df, [c for c in rest if c not in io])
+    packed = df.groupBy(*key).agg(F.max_by(F.struct(*rest), F.struct(*io, *tie)).alias("__r"))
     return packed.select(*key, *[F.col(f"__r.{c}").alias(c) for c in rest])
 
 
@@ -223,14 +234,13 @@ def rank_models(report: DataFrame, score: str = "test_adj_r2", name: str = "mode
 
 
 def last_row(df: DataFrame, order: Sequence[str] | str, keys: Sequence[str] = ()) -> DataFrame:
-    """LIM-01: the last row (per key) as a ``max_by`` aggregate, no global sort."""
+    """LIM-01: the last row (per key) as a ``max_by`` aggregate, no global sort; of rows with equal order the
+    one that is largest in its other columns."""
     order = [order] if isinstance(order, str) else list(order)
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
-    if keys:
-        r = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("__r"))
-    else:
-        r = df.agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("__r")).filter(F.col("__r").isNotNull())
+    last = F.max_by(F.struct(*rest), F.struct(*order, *_comparable(df, [c for c in rest if c not in order]))).alias("__r")
+    r = df.groupBy(*keys).agg(last) if keys else df.agg(last).filter(F.col("__r").isNotNull())
     return r.select(*keys, *[F.col(f"__r.{c}").alias(c) for c in rest])
 
 

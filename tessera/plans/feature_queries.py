@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..functions.dates import parse_date_coerce
 from ..operators import features as FE
 from ..operators import ordered as O
 from ..operators import project as PJ
@@ -82,21 +84,23 @@ def q_yeo_johnson(spark, sf):
                                         {"l_extendedprice": 0.5, "l_discount": 0.5}), 9)
 
 
-_OUT_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+_OUT_COLS = ["l_quantity", "l_extendedprice", "l_discount", "amount"]
 
 
 @query("outlier_handle", """WITH li AS (SELECT l_orderkey, l_linenumber, CAST(l_quantity AS DOUBLE) AS l_quantity,
-  l_extendedprice, l_discount, l_tax FROM lineitem),
+  l_extendedprice, l_discount, l_extendedprice * l_quantity * l_quantity AS amount FROM lineitem),
 st AS (SELECT """ + ", ".join(
     f"quantile_cont({c}, 0.25) AS {c}_q1, quantile_cont({c}, 0.75) AS {c}_q3, min({c}) AS {c}_mn, max({c}) AS {c}_mx"
     for c in _OUT_COLS) + """ FROM li)
 SELECT l_orderkey, l_linenumber, """ + ", ".join(
     f"round(CASE WHEN ({c}_mn < {c}_q1 - 1.5 * ({c}_q3 - {c}_q1) OR {c}_mx > {c}_q3 + 1.5 * ({c}_q3 - {c}_q1)) "
-    f"AND {c}_mn > 0 THEN ln({c}) ELSE {c} END, 9) AS {c}" for c in _OUT_COLS) + " FROM li, st")
+    f"AND {c}_mn > 0 THEN ln({c}) ELSE {c} END, 6) AS {c}" for c in _OUT_COLS) + " FROM li, st")
 def q_outlier_handle(spark, sf):
-    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_quantity").cast("double"),
-                                             "l_extendedprice", "l_discount", "l_tax")
-    return round_doubles(FE.outlier_handle(li, "log", 1.5, exclude=["l_orderkey", "l_linenumber"]), 9)
+    """``amount`` has a long tail, so it is flagged and transformed; the others stay."""
+    quantity = F.col("l_quantity").cast("double")
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", quantity.alias("l_quantity"), "l_extendedprice", "l_discount",
+                                             (F.col("l_extendedprice") * quantity * quantity).alias("amount"))
+    return round_doubles(FE.outlier_handle(li, "log", 1.5, exclude=["l_orderkey", "l_linenumber"]), 6)
 
 
 _SPLIT_SQL = """SELECT *, CASE WHEN rn <= floor(n * 0.6::DOUBLE) THEN 'train'
@@ -168,6 +172,19 @@ def q_variance_threshold(spark, sf):
     return v.withColumn("variance", F.round("variance", 9))
 
 
+_VAR_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+@query("variance_filter", f"""WITH li AS (SELECT l_orderkey, l_linenumber, {", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _VAR_COLS)} FROM lineitem),
+l AS (UNPIVOT li ON {", ".join(_VAR_COLS)} INTO NAME feature VALUE value)
+SELECT l_orderkey, l_linenumber, feature, value FROM l WHERE feature IN (SELECT feature FROM l GROUP BY feature HAVING var_pop(value) > 0.01)""")
+def q_variance_filter(spark, sf):
+    """The columns that the filter keeps, a row a value."""
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", *(F.col(c).cast("double").alias(c) for c in _VAR_COLS))
+    kept = FE.variance_threshold(li, 0.01, _VAR_COLS)
+    return kept.unpivot(["l_orderkey", "l_linenumber"], [c for c in kept.columns if c in _VAR_COLS], "feature", "value")
+
+
 @query("lda_projection")
 def q_lda_projection(spark, sf):
     emb = table(spark, sf, "embeddings")
@@ -182,8 +199,10 @@ def q_kernel_pca(spark, sf):
 
 def preprocess_chain(df, order="hour", source=MAIN, target="target", impute_method="knn",
                      outlier_method="yeo", k=1.5):
-    """PIP-01: distinct rows -> impute -> outlier transform -> returns, drop incomplete
-    rows, next-row target; each step a DataFrame -> DataFrame function."""
+    """PIP-01: dates parsed where they are text (rows without one go) -> distinct rows -> impute -> outlier transform
+    -> returns, drop incomplete rows, next-row target; each step a DataFrame -> DataFrame function."""
+    if isinstance(df.schema[order].dataType, T.StringType):
+        df = df.withColumn(order, parse_date_coerce(F.col(order))).filter(F.col(order).isNotNull())
     d = df.dropDuplicates()
     num = [c for c in FE.numeric_columns(d) if c != target]
     if impute_method == "knn":

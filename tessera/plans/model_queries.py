@@ -12,7 +12,7 @@ from ..operators import models as M
 from ..operators import stages as ST
 from ..operators.panel import argmax_params, last_row
 from ..session import table_path
-from .fixtures import SERIES, daily_orders
+from .fixtures import SERIES, SQL_DAILY_ORDERS, daily_orders
 from .panel_queries import panel_features
 from .quality_queries import _sql_metrics, naive_metrics
 from .registry import ORACLE, query, round_doubles
@@ -43,12 +43,13 @@ def q_lasso(spark, sf):
     return round_doubles(_coef_table(spark, *M.lasso_cd(st, LASSO["alpha"], LASSO["max_iter"])))
 
 
-def sql_linear(table, columns, label, ridge, where="true", name="w"):
+def sql_linear(table, columns, label, ridge, where="true", name="w", centred=True):
     """CTEs that solve the centred normal equations of ``label`` on ``columns`` by elimination, with ``ridge`` on the diagonal;
-    the last one, ``name``, has w0.. and the intercept."""
+    the last one, ``name``, has w0.. and the intercept (0 if not ``centred``)."""
     n = len(columns)
     own = f"{name}_rows AS (SELECT {', '.join(columns)}, {label} AS y FROM {table} WHERE {where})"
-    mean = f"{name}_mean AS (SELECT {', '.join(f'avg({c}) AS m{i}' for i, c in enumerate(columns))}, avg(y) AS my FROM {name}_rows)"
+    mean_of = (lambda c: f"avg({c})") if centred else (lambda c: "0.0")
+    mean = f"{name}_mean AS (SELECT {', '.join(f'{mean_of(c)} AS m{i}' for i, c in enumerate(columns))}, {mean_of('y')} AS my{f' FROM {name}_rows' if centred else ''})"
     cells = [f"sum(({a} - m{i}) * ({b} - m{j})){f' + {ridge}' if i == j else ''} AS a{i}_{j}"
              for i, a in enumerate(columns) for j, b in enumerate(columns)]
     cells += [f"sum(({a} - m{i}) * (y - my)) AS a{i}_{n}" for i, a in enumerate(columns)]
@@ -187,7 +188,15 @@ def q_rank_models(spark, sf):
 
 # ---------------------------------------------------------------- forecasts
 
-@query("ar_forecast")
+_AR = [f"d{i}" for i in range(1, 6)]
+
+
+@query("ar_forecast", f"""WITH {SQL_DAILY_ORDERS},
+diff AS (SELECT date, value, value - lag(value) OVER (ORDER BY date) AS d0 FROM daily),
+l AS (SELECT *, {", ".join(f"lag(d0, {i}) OVER (ORDER BY date) AS d{i}" for i in range(1, 6))} FROM diff),
+{sql_linear("l", _AR, "d0", 0.0, " AND ".join(f"{c} IS NOT NULL" for c in _AR), centred=False)},
+t AS (SELECT * FROM l ORDER BY date DESC LIMIT 1)
+SELECT 'ARIMA' AS name, round_even(value + {" + ".join(f"w{i} * d{i}" for i in range(5))}, 2) AS forecast FROM t, w""")
 def q_ar_forecast(spark, sf):
     return FC.ar_forecast(daily_orders(spark, sf), "value", order="date")
 

@@ -16,14 +16,15 @@ _FILL = ",\n".join(f"first_value({c} IGNORE NULLS) OVER f AS {c}" for c in SERIE
 def panel_features(spark, sf_dir):
     """events -> hourly pivot on a spine -> back-fill -> returns -> next-hour target ->
     chronological split. Returns and target come from one shift pass."""
-    p = hourly_panel(spark, sf_dir)
-    p = O.backfill(p, SERIES, order="hour")
+    p = hourly_panel(spark, sf_dir).checkpoint(eager=True)  # the pivot is read by the cuts and by each step
+    cuts = O.row_buckets(p, "hour")
+    p = O.backfill(p, SERIES, order="hour", bucket=cuts)
     specs = {f"__prev_{c}": (c, 1) for c in SERIES}
     specs["target"] = (MAIN, -1)
-    p = O.shift(p, specs, order="hour")
+    p = O.shift(p, specs, order="hour", bucket=cuts)
     p = p.withColumns({f"{c}_pct_chg": (F.try_divide(F.col(c), F.col(f"__prev_{c}")) - 1) * 100
                        for c in SERIES}).drop(*[f"__prev_{c}" for c in SERIES])
-    p = O.chronological_split(p, order="hour")
+    p = O.chronological_split(p, order="hour", bucket=cuts)
     return round_doubles(p)
 
 

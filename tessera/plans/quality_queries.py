@@ -61,28 +61,49 @@ def q_check_dtypes(spark, sf):
 @query("check_missing", f"""WITH {SQL_HOURLY_PANEL},
 r AS (SELECT *, ((CASE WHEN click IS NULL THEN 1 ELSE 0 END) + (CASE WHEN error IS NULL THEN 1 ELSE 0 END)
    + (CASE WHEN purchase IS NULL THEN 1 ELSE 0 END) + (CASE WHEN signup IS NULL THEN 1 ELSE 0 END)
-   + (CASE WHEN view IS NULL THEN 1 ELSE 0 END)) / 6.0 AS ratio FROM panel)
-SELECT {_f("'row_missing'", "NULL", "strftime(hour, '%Y-%m-%d %H:%M:%S')", "printf('%.4f', ratio)")} FROM r WHERE ratio >= 0.4
+   + (CASE WHEN view IS NULL THEN 1 ELSE 0 END)) / 6.0 AS ratio, CASE WHEN hour >= TIMESTAMP '{CUT}' THEN click END AS late FROM panel)
+SELECT {_f("'column_missing'", "'late'", "NULL", "(SELECT printf('%.4f', avg(CASE WHEN late IS NULL THEN 1.0 ELSE 0.0 END)) FROM r)")}
+WHERE (SELECT avg(CASE WHEN late IS NULL THEN 1.0 ELSE 0.0 END) FROM r) >= 0.4
+UNION ALL SELECT {_f("'row_missing'", "NULL", "strftime(hour, '%Y-%m-%d %H:%M:%S')", "printf('%.4f', ratio)")} FROM r WHERE ratio >= 0.4
 UNION ALL SELECT {_f("'null_left'", "NULL", "strftime(hour, '%Y-%m-%d %H:%M:%S')", "NULL")} FROM r
 WHERE ratio < 0.4 AND ratio > 0""")
 def q_check_missing(spark, sf):
-    findings, _ = Q.check_missing(hourly_panel(spark, sf), "hour")
+    """With a column that starts late, so that it goes before rows are judged."""
+    late = F.when(F.col("hour") >= CUT, F.col("click"))
+    findings, _ = Q.check_missing(hourly_panel(spark, sf).withColumn("late", late), "hour")
     return findings
 
 
-@query("check_ranges", f"""WITH {SQL_FINAL}
-SELECT {_f("'score_range'", "'mean_sentiment_score'", "strftime(date, '%Y-%m-%d %H:%M:%S')", "mean_sentiment_score")} FROM final
-WHERE mean_sentiment_score < -1 OR mean_sentiment_score > 1""")
+def faulty_table(spark, sf):
+    """The final table with prices below 0 and a day that is there twice."""
+    d = final_table(spark, sf).withColumn("crude_oil", F.col("crude_oil") - 20)
+    return d.unionByName(d.filter((F.col("date") >= "2024-01-05") & (F.col("date") < "2024-01-06")))
+
+
+SQL_FAULTY = SQL_FINAL + """,
+less AS (SELECT * REPLACE (crude_oil - 20 AS crude_oil) FROM final),
+faulty AS (SELECT * FROM less UNION ALL SELECT * FROM less WHERE date >= TIMESTAMP '2024-01-05' AND date < TIMESTAMP '2024-01-06')"""
+
+
+@query("check_ranges", f"""WITH {SQL_FAULTY}
+SELECT {_f("'score_range'", "'mean_sentiment_score'", "strftime(date, '%Y-%m-%d %H:%M:%S')", "mean_sentiment_score")} FROM faulty
+WHERE mean_sentiment_score < -1 OR mean_sentiment_score > 1
+UNION ALL SELECT {_f("'negative_price'", "'crude_oil'", "strftime(date, '%Y-%m-%d %H:%M:%S')", "round(crude_oil, 6)")} FROM faulty WHERE crude_oil < 0""")
 def q_check_ranges(spark, sf):
-    return Q.check_ranges(final_table(spark, sf), "date")
+    d = faulty_table(spark, sf)
+    return Q.check_ranges(d.withColumn("crude_oil", F.round("crude_oil", 6)), "date")
+
+
+_LI = "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax l_returnflag l_linestatus l_shipdate".split()
 
 
-@query("check_duplicates", """SELECT 'duplicate_row' AS check, CAST(NULL AS VARCHAR) AS "column",
-  concat_ws('|', l_returnflag, l_linestatus, CAST(l_quantity AS VARCHAR)) AS row_key, CAST(count(*) - 1 AS VARCHAR) AS detail
-FROM lineitem GROUP BY l_returnflag, l_linestatus, l_quantity HAVING count(*) > 1""")
+@query("check_duplicates", f"""WITH li AS (SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem WHERE l_orderkey % 50 = 0)
+SELECT 'duplicate_row' AS check, CAST(NULL AS VARCHAR) AS "column", concat_ws('|', {", ".join(f"CAST({c} AS VARCHAR)" for c in _LI)}) AS row_key,
+  CAST(count(*) - 1 AS VARCHAR) AS detail FROM li GROUP BY {", ".join(_LI)} HAVING count(*) > 1""")
 def q_check_duplicates(spark, sf):
-    li = table(spark, sf, "lineitem").select("l_returnflag", "l_linestatus", "l_quantity")
-    return Q.check_duplicates(li)
+    """All columns of the table, a fiftieth of whose rows is there twice."""
+    li = table(spark, sf, "lineitem").select(*_LI)
+    return Q.check_duplicates(li.unionByName(li.filter(F.col("l_orderkey") % 50 == 0)))
 
 
 @query("check_future_dates", f"""SELECT {_f("'future_date'", "'ts'", "event_id", "strftime(ts, '%Y-%m-%d %H:%M:%S')")}
@@ -92,16 +113,18 @@ def q_check_future_dates(spark, sf):
     return Q.check_future_dates(ev, "ts", as_of="2024-01-29 12:00:00", key="event_id")
 
 
-@query("run_all_checks", f"""WITH {SQL_FINAL}, k AS (SELECT * FROM final WHERE mean_sentiment_score IS NOT NULL
+@query("run_all_checks", f"""WITH {SQL_FAULTY}, k AS (SELECT * FROM faulty WHERE mean_sentiment_score IS NOT NULL
    AND crude_oil IS NOT NULL AND gold IS NOT NULL AND vix IS NOT NULL AND nsei IS NOT NULL)
 SELECT "check", count(*) AS n FROM (
   SELECT 'missing_column' AS "check" FROM (VALUES {", ".join(f"('{c}')" for c in Q.REQUIRED_COLUMNS)}) r(name)
     WHERE name NOT IN ('date', 'mean_sentiment_score', 'crude_oil', 'gold', 'vix', 'nsei')
   UNION ALL SELECT 'score_range' FROM k WHERE mean_sentiment_score < -1 OR mean_sentiment_score > 1
+  UNION ALL SELECT 'negative_price' FROM k WHERE crude_oil < 0
+  UNION ALL SELECT 'duplicate_row' FROM (SELECT 1 FROM k GROUP BY date, mean_sentiment_score, crude_oil, gold, vix, nsei HAVING count(*) > 1)
   UNION ALL SELECT 'future_date' FROM k WHERE date > TIMESTAMP '2024-01-29 12:00:00')
 GROUP BY 1""")
 def q_run_all_checks(spark, sf):
-    f = Q.run_all_checks(final_table(spark, sf), "date", as_of="2024-01-29 12:00:00")
+    f = Q.run_all_checks(faulty_table(spark, sf), "date", as_of="2024-01-29 12:00:00")
     return f.groupBy("check").agg(F.count(F.lit(1)).alias("n"))
 
 
