@@ -78,3 +78,26 @@ def clean_text(col: str = "text"):
 def fold(doc_id_col: str, parts: int):
     """crc32 of the id as text, modulo ``parts`` (null ids fall in fold 0)."""
     return F.coalesce(F.crc32(F.col(doc_id_col).cast("string")) % parts, F.lit(0)).cast("int")
+
+
+def stretch(text_col: str, longest: int):
+    """A text of at most ``longest`` code points whole; of a longer one so many, from a place hashed from it."""
+    text = F.col(text_col)
+    at = F.pmod(F.xxhash64(text), F.greatest(F.length(text) - longest + 1, F.lit(1)))
+    return F.when(F.length(text) <= longest, text).otherwise(F.substring(text, (at + 1).cast("int"), F.lit(longest)))
+
+
+#: steps of the hash threshold
+STEPS = 1 << 40
+
+
+def below(hash_col: str, share: float):
+    """Whether a hash lies in the lowest ``share`` of its range."""
+    return F.pmod(F.col(hash_col), F.lit(STEPS)) < F.lit(int(share * STEPS))
+
+
+def hash_shares(rows: DataFrame, group_col: str, budget: int, max_rows: int) -> dict:
+    """For each group of ``rows`` (with ``_text``) the share of rows that holds about ``budget`` code points and a fifth more
+    than ``max_rows`` rows at most. One number a group comes to the driver."""
+    sizes = rows.groupBy(group_col).agg(F.sum(F.length("_text")).alias("size"), F.count(F.lit(1)).alias("n")).collect()
+    return {r[group_col]: min(1.0, budget / max(r["size"], 1), 1.2 * max_rows / r["n"] + 100 / r["n"]) for r in sizes}

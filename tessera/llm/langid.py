@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import subwords
-from .common import fold, released, sliced
+from .common import STEPS, fold, hash_shares, released, sliced, stretch
 
 SIZES = (2, 3, 4)
 UNKNOWN = "und"
@@ -241,21 +241,21 @@ def predict(model: Model, texts: list[str]) -> tuple[list[str], np.ndarray]:
 
 def fit_languages(docs: DataFrame, max_rows: int = 1200, longest: int = 3000, id_col: str = "doc_id",
                   text_col: str = "text", lang_col: str = "lang", **options) -> Model:
-    """Trains on at most ``max_rows`` texts a language, no longer than ``longest`` code points, of rows with
-    crc32(id) mod 4 other than 2 and a language; in an order hashed from the text. The number
-    of languages bounds the sample on the driver (``max_rows * longest`` code points each)."""
-    rows = (docs.where((fold(id_col, 4) != 2) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()
-                       & (F.length(text_col) <= longest))
-            .select(F.col(text_col).alias("_text"), F.col(lang_col).alias("_lang"),
-                    F.xxhash64(text_col, id_col).alias("_order")))
-    langs = sorted(r[0] for r in rows.groupBy("_lang").agg(F.count(F.lit(1))).collect())
-    if not langs:
+    """Trains on at most ``max_rows`` texts a language, of rows with crc32(id) mod 4 other than 2 and a language, in an order
+    hashed from the text. A text of more than ``longest`` code points gives a stretch of so many, at a place hashed from it, so a language
+    of long texts is learned too. One scan takes all languages: rows below a hash threshold that follows from each language's count. The
+    number of languages bounds the sample on the driver (``max_rows * longest`` code points each). Empty tables and tables
+    without a language give a model that knows none."""
+    rows = (docs.where((fold(id_col, 4) != 2) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
+            .select(F.col(lang_col).alias("_lang"), F.col(text_col).alias("_whole"), F.xxhash64(text_col, id_col).alias("_order"))
+            .select("_lang", "_order", stretch("_whole", longest).alias("_text")))
+    shares = hash_shares(rows, "_lang", max_rows * longest, max_rows)
+    if not shares:
         return train([], [], **options)
-    parts = [rows.where(F.col("_lang") == x).orderBy("_order", "_text").limit(max_rows) for x in langs]
-    sample = parts[0]
-    for part in parts[1:]:
-        sample = sample.unionByName(part)
-    got = sample.toPandas()
+    wanted = docs.sparkSession.createDataFrame([(k, int(v * STEPS)) for k, v in shares.items()], "_lang string, _below long")  # a row a language
+    got = (rows.withColumn("_lang", F.col("_lang").cast("string")).join(F.broadcast(wanted), "_lang")
+           .where(F.pmod("_order", F.lit(STEPS)) < F.col("_below")).select("_lang", "_order", "_text").toPandas())
+    got = got.sort_values(["_lang", "_order", "_text"]).groupby("_lang", sort=True).head(max_rows)
     return train(got["_text"].tolist(), got["_lang"].tolist(), **options)
 
 

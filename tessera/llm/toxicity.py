@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import subwords
-from .common import clean_text, fold, released, sliced
+from .common import below, clean_text, fold, hash_shares, released, sliced, stretch
 
 SIZES = (3, 4, 5)
 
@@ -127,17 +127,28 @@ def train(texts: list[str], labels: np.ndarray, bits: int = 17, dims: int = 8, w
     return Model(vectors @ (rows[1] - rows[0]), float(bias[1] - bias[0]), bits, window)
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, max_rows: int, longest: int,
+def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, max_rows: int, budget: int, longest: int,
                     id_col: str = "doc_id", text_col: str = "text") -> pd.DataFrame:
-    """At most ``max_rows`` texts of each label (0 and 1), no longer than ``longest`` code points,
-    in an order hashed from the text, of rows with crc32(id) mod 3 other than 1."""
+    """Texts of each label (0 and 1), at most ``max_rows`` and about ``budget`` code points of each, in an order hashed from
+    the text, of rows with crc32(id) mod 3 other than 1. No text is left out for its length: one of more than ``longest`` code
+    points gives a stretch of so many, at a place hashed from it. An id with both labels counts as 1.
+
+    Rows are chosen by a threshold on their hash that follows from a count of the labelled texts, so no task gathers more than
+    the sample. The driver holds at most ``2 * max_rows`` texts."""
     known = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_label")) \
-        .where(F.col("_label").isin(0, 1) & (fold("_id", 3) != 1)).dropDuplicates(["_id"])
+        .where(F.col("_label").isin(0, 1) & (fold("_id", 3) != 1)).groupBy("_id").agg(F.max("_label").alias("_label"))
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")) \
-        .where((fold("_id", 3) != 1) & F.col("_text").isNotNull() & (F.length("_text") <= longest))
-    rows = texts.join(known, "_id").select("_text", "_label", F.xxhash64("_text", "_id").alias("_order"))
-    parts = [rows.where(F.col("_label") == k).orderBy("_order", "_text").limit(max_rows) for k in (0, 1)]
-    return parts[0].unionByName(parts[1]).toPandas()
+        .where((fold("_id", 3) != 1) & F.col("_text").isNotNull())
+    rows = texts.join(known, "_id").select(stretch("_text", longest).alias("_text"), "_label", F.xxhash64("_text", "_id").alias("_order"))
+    shares = hash_shares(rows, "_label", budget, max_rows)
+    parts = [rows.where((F.col("_label") == k) & below("_order", share)).orderBy("_order", "_text").limit(max_rows)
+             for k, share in sorted(shares.items())]
+    if not parts:
+        return pd.DataFrame({"_text": [], "_label": np.zeros(0, np.int64), "_order": []})
+    sample = parts[0]
+    for part in parts[1:]:
+        sample = sample.unionByName(part)
+    return sample.toPandas()
 
 
 def score_toxicity(docs: DataFrame, model: Model, threshold: float = 0.7, id_col: str = "doc_id",
@@ -176,10 +187,10 @@ def drop_toxic(docs: DataFrame, model: Model, threshold: float = 0.7, text_col:
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", max_rows: int = 3000,
-                 longest: int = 2000, **options) -> Model:
-    """Trains on a bounded sample of the labelled rows (see ``labelled_sample``): at most ``2 * max_rows``
-    texts, so the driver holds at most ``2 * max_rows * longest`` code points at any input size."""
-    sample = labelled_sample(docs, labels, label_col, max_rows, longest)
+                 budget: int = 3_000_000, longest: int = 20_000, **options) -> Model:
+    """Trains on a bounded sample of the labelled rows (see ``labelled_sample``): ``max_rows`` texts and about ``budget`` code
+    points a label, at any input size. With one label or none there is nothing to tell apart: all texts get the same score."""
+    sample = labelled_sample(docs, labels, label_col, max_rows, budget, longest)
     return train(sample["_text"].tolist(), sample["_label"].to_numpy(), **options)
 
 

@@ -88,3 +88,18 @@ def test_query(spark):
         assert r.held_out == (r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 4 == 2)
     assert langid.detect_languages(docs.limit(0)).collect() == []
     assert {r.lang_pred for r in langid.detect_languages(docs.selectExpr("doc_id", "text", "cast(null as string) lang")).collect()} == {"und"}
+
+
+def test_a_language_of_long_texts_alone_is_learned(spark):
+    import random
+
+    from tessera.llm import langid
+
+    rng = random.Random(3)
+    words = {"xx": "ka lomi tuve sira pono".split(), "yy": "grund brett schlau witz kranz".split()}
+    rows = [(i, " ".join(rng.choice(words[k]) for _ in range(900 if k == "yy" else 60)), k) for i, k in enumerate(["xx", "yy"] * 60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit_languages(docs)
+    assert model.langs == ["xx", "yy"] or list(model.langs) == ["xx", "yy"]
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.label_languages(docs, model).collect()}
+    assert all(got[i] == k for i, _, k in rows)

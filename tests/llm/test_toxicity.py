@@ -69,3 +69,19 @@ def test_held_out_labels_have_no_say(spark):
         rows = [(i, int(v) if zlib.crc32(str(i).encode()) % 3 != 1 or not flip else 1 - int(v)) for i, v in enumerate(labels)]
         return sorted(map(tuple, toxicity.detect_toxicity(docs, spark.createDataFrame(rows, "doc_id long, toxic int")).collect()))
     assert scores(False) == scores(True)
+
+
+def test_a_label_of_long_texts_alone_is_learned(spark):
+    """Toxic texts that are all longer than a stretch still teach, and an id with both labels counts as toxic."""
+    rng = random.Random(6)
+    plain = [" ".join(rng.choice(WORDS) for _ in range(60)) for _ in range(120)]
+    bad = [" ".join(rng.choice(WORDS + BAD) for _ in range(900)) for _ in range(60)]
+    docs = docs_frame(spark, plain + bad)
+    rows = [(i, int(i >= 120)) for i in range(180)] + [(130, 0)]
+    model = toxicity.fit_toxicity(docs, spark.createDataFrame(rows, "doc_id long, toxic int"), longest=3000)
+    got = {r["doc_id"]: r["predicted"] for r in toxicity.score_toxicity(docs, model).collect()}
+    assert sum(got[i] == (i >= 120) for i in range(180)) >= 175
+    sample = toxicity.labelled_sample(docs, spark.createDataFrame(rows, "doc_id long, toxic int"), "toxic", 30, 10 ** 9, 3000)
+    assert (sample.groupby("_label").size() == 30).all() and sample["_text"].str.len().max() == 3000
+    few = toxicity.labelled_sample(docs, spark.createDataFrame(rows, "doc_id long, toxic int"), "toxic", 10 ** 6, 1, 3000)
+    assert set(few["_label"]) == {0, 1} or len(few) == 0
