@@ -27,14 +27,26 @@ NOTICES = {
     "under the mit license": "mit",
     "permission is hereby granted free of charge to any person obtaining a copy": "mit",
     "licensed under the apache license version 2 0": "apache-2",
+    "licensed under the apache license version 1 1": "apache-1-1",
     "licensed under cc by nc 4 0": "cc-by-nc",
     "creative commons attribution noncommercial 4 0": "cc-by-nc",
+    "licensed under cc by sa 4 0": "cc-by-sa",
+    "creative commons attribution sharealike 4 0": "cc-by-sa",
+    "licensed under cc by nd 4 0": "cc-by-nd",
+    "creative commons attribution noderivatives 4 0": "cc-by-nd",
+    "licensed under cc by 4 0": "cc-by",
+    "licensed under the gnu general public license version 2": "gpl-2",
     "licensed under the gnu general public license version 3": "gpl-3",
     "licensed under the gnu lesser general public license": "lgpl",
     "redistribution and use in source and binary forms": "bsd",
+    "mozilla public license version 1 1": "mpl-1-1",
     "mozilla public license version 2 0": "mpl-2",
     "all rights reserved": "all-rights-reserved",
 }
+#: words that tell one license from another: edits may not touch them
+NAMING = frozenset("mit cc by nc sa nd".split())
+#: words whose presence beside them makes it another license
+NUMBER = re.compile(r"[0-9]+")
 WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
@@ -60,6 +72,11 @@ def pieces(wording: str, count: int) -> list[tuple[int, str]]:
     return [(a, wording[a:b]) for a, b in zip(cuts, cuts[1:])]
 
 
+def variants(notices: dict[str, str]) -> dict[str, str]:
+    """The notices, and those of a version "2.0" with "2" alone too."""
+    return notices | {w.removesuffix(" 0"): label for w, label in notices.items() if w.endswith(" 0")}
+
+
 class Scanner:
     """Finds phrases and notices in a text given as its words joined by blanks.
 
@@ -69,10 +86,10 @@ class Scanner:
         self.phrases = [(f" {p} ", label) for p, label in phrases.items()]
         self.notices = []
         seeds: dict[str, list[tuple[int, int]]] = {}
-        for n, (wording, label) in enumerate(notices.items()):
+        for n, (wording, label) in enumerate(variants(notices).items()):
             errors = max(1, int(len(wording) * error_rate))
             pattern = regex.compile(rf"(?b)(?<=\ )(?:{regex.escape(wording)}){{e<={errors}}}(?=\ )")
-            self.notices.append((len(wording), label, errors, pattern))
+            self.notices.append((wording, label, errors, pattern))
             for at, piece in pieces(wording, errors + 1):
                 seeds.setdefault(piece, []).append((n, at))
         self.seeds = ahocorasick.Automaton()
@@ -90,15 +107,27 @@ class Scanner:
                 at = line.find(phrase, at + 1)
         return found
 
+    @staticmethod
+    def named(wording: str, found: str, behind: str) -> bool:
+        """Whether the words that name the license stand in ``found`` as in the notice: the naming words and numbers in
+        order, none more, and none going on behind (``behind`` is the next word)."""
+        def kept(text: str) -> list[str]:
+            return [w for w in text.split() if w in NAMING or NUMBER.fullmatch(w)]
+
+        asked, own = kept(wording), kept(found)
+        minor = asked and NUMBER.fullmatch(asked[-1]) and NUMBER.fullmatch(behind) and len(behind) == 1  # "2" of "2.5"
+        return own == asked and not minor and not (asked and behind in NAMING and asked[-1] in NAMING)
+
     def fuzzy(self, line: str) -> list[Span]:
-        """Notices within their error bounds, best spans first found from the left; no two of a notice overlap."""
+        """Notices within their error bounds whose naming words are untouched, best spans first found from the left; no two of a notice overlap."""
         starts: dict[int, set[int]] = {}
         for end, (size, places) in self.seeds.iter(line):
             for n, at in places:
                 starts.setdefault(n, set()).add(end + 1 - size - at)
         found = []
         for n in sorted(starts):
-            size, label, errors, pattern = self.notices[n]
+            wording, label, errors, pattern = self.notices[n]
+            size = len(wording)
             done = -1  # end of the last window or span
             for s in sorted(starts[n]):
                 if s + size - errors <= done:
@@ -107,6 +136,8 @@ class Scanner:
                 m = pattern.search(line, a, b)
                 if m is None:
                     continue
+                if not self.named(wording, m.group(), line[m.end():m.end() + 24].lstrip(" ").split(" ", 1)[0]):
+                    continue
                 done = m.end()
                 first = line.count(" ", 0, m.start()) - 1
                 wrong = sum(m.fuzzy_counts)
