@@ -85,22 +85,23 @@ def word_lexicon(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
 
 def score_texts(df: DataFrame, key: str, text: str = "text", lexicon: DataFrame | None = None,
                 scorer: Callable[[pd.Series], pd.Series] | None = None, name: str = "score",
-                max_tokens: int | None = None, broadcast_words: int = 500_000) -> DataFrame:
+                max_tokens: int | None = None, broadcast_words: int = 4_000_000) -> DataFrame:
     """SEN-01: a score per text. With ``scorer`` (pandas Series of texts -> Series of
     scores) it runs as an Arrow-batched pandas UDF (``score_with_model`` loads a model once a task instead);
     with ``lexicon`` (word, weight) it is the mean weight of the tokens that the lexicon
     knows (null when none), of the first ``max_tokens`` only if a limit is asked for. A lexicon of at most
-    ``broadcast_words`` words (counted) is sent to the texts; beyond, their tokens are joined to it by word."""
+    ``broadcast_words`` words (counted) is sent to the texts as hashes and weights (16 bytes a word); beyond, the hashes of
+    their tokens are joined to it."""
     if scorer is not None:
         udf = F.pandas_udf(scorer, "double")
         return df.withColumn(name, udf(F.col(text)))
     t = (df.select(key, "tokens") if "tokens" in df.columns else tokens_of(df.select(key, text), text))
     if max_tokens is not None:
         t = t.withColumn("tokens", X.truncate_tokens(F.col("tokens"), max_tokens))
-    ex = t.select(key, F.explode("tokens").alias("word"))
-    words = lexicon.checkpoint(eager=True)  # learned once, counted and joined
+    ex = t.select(key, F.explode(F.transform("tokens", lambda w: F.xxhash64(w))).alias("h"))
+    words = lexicon.select(F.xxhash64("word").alias("h"), "weight").checkpoint(eager=True)  # learned once, counted and joined
     small = words.count() <= broadcast_words
-    s = ex.join(F.broadcast(words) if small else words, "word").groupBy(key).agg(F.avg("weight").alias(name))
+    s = ex.join(F.broadcast(words) if small else words, "h").groupBy(key).agg(F.avg("weight").alias(name))
     return df.join(s, key, "left")
 
 
