@@ -101,3 +101,17 @@ def hash_shares(rows: DataFrame, group_col: str, budget: int, max_rows: int) ->
     than ``max_rows`` rows at most. One number a group comes to the driver."""
     sizes = rows.groupBy(group_col).agg(F.sum(F.length("_text")).alias("size"), F.count(F.lit(1)).alias("n")).collect()
     return {r[group_col]: min(1.0, budget / max(r["size"], 1), 1.2 * max_rows / r["n"] + 100 / r["n"]) for r in sizes}
+
+
+def one_text_ids(docs: DataFrame, id_col: str, text_col: str, name: str) -> tuple[DataFrame, DataFrame] | None:
+    """Where an id has rows with different texts: ``docs`` with a number ``name`` for each (id, text), which ascends with the id (null
+    for a null id), and the table ``name, id``. None where ids tell texts apart. Only ids and hashes of texts are shuffled to find out."""
+    rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.xxhash64(text_col), F.lit(0)).alias("_hash")).where("_id is not null")
+    if not rows.groupBy("_id").agg((F.min("_hash") != F.max("_hash")).alias("many")).where("many").limit(1).count():
+        return None
+    ranged = rows.distinct().repartitionByRange("_id", "_hash").sortWithinPartitions("_id", "_hash")
+    numbers = materialize(ranged.withColumn(name, F.monotonically_increasing_id()), "text-ids")
+    own = docs.withColumns({"_own": F.col(id_col).cast("long"), "_text_hash": F.coalesce(F.xxhash64(text_col), F.lit(0))})
+    numbered = own.join(numbers, (F.col("_own") == F.col("_id")) & (F.col("_text_hash") == F.col("_hash")), "left") \
+        .select(*(own[c] for c in docs.columns), name)
+    return materialize(numbered, "text-id-docs"), numbers.select(name, F.col("_id").alias("id"))

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import subwords
-from .common import materialize, release, released, sliced
+from .common import materialize, one_text_ids, release, released, sliced
 from .components import components
 from .vectors import _groups
 
@@ -212,7 +212,14 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, size: int = 5, damp
     gives an empty result. A pair at the threshold shares a band with probability
     1 - (1 - threshold ** rows) ** bands (0.9998 by default); nearer pairs more surely."""
     ids = docs.select(F.col(id_col).cast("long").alias("doc_id"))
-    links = near_links(docs, threshold, size, damping, bands, rows, block_bytes, many, chunk, id_col, text_col)
+    split = one_text_ids(docs, id_col, text_col, "_one")
+    if split is None:
+        links = near_links(docs, threshold, size, damping, bands, rows, block_bytes, many, chunk, id_col, text_col)
+    else:  # texts are compared one by one, their links are those of their ids
+        found = near_links(split[0], threshold, size, damping, bands, rows, block_bytes, many, chunk, "_one", text_col)
+        a, b = (split[1].select(F.col("_one").alias(c), F.col("id").alias(f"{c}_id")) for c in ("a", "b"))
+        links = (found.join(a, "a").join(b, "b").where("a_id <> b_id")
+                 .select(F.least("a_id", "b_id").alias("a"), F.greatest("a_id", "b_id").alias("b")).distinct())
     joined = components(links)
     return (ids.join(joined.withColumnRenamed("node", "doc_id"), "doc_id", "left")
             .select("doc_id", F.coalesce("component", "doc_id").alias("group_id"))
@@ -406,7 +413,10 @@ def _compare_block(rows: dict, band: int, c1: int, c2: int, threshold: float, co
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", broadcast_rows: int = 1_000_000,
                          **options) -> DataFrame:
     """The documents without those that have a smaller near duplicate. Rows that repeat an id and a text
-    are one document and stay once; the columns stay as they are."""
+    are one document and stay once; rows with one id and different texts are documents of their own, in the order of their texts'
+    hashes. Null, empty and wordless texts and rows with a null id stay. The columns stay as they are; an empty table stays empty."""
+    if (split := one_text_ids(docs, id_col, text_col, "_one")) is not None:
+        return drop_near_duplicates(split[0], "_one", text_col, broadcast_rows, **options).drop("_one")
     links = near_links(docs, id_col=id_col, text_col=text_col, **options)
     gone = materialize(components(links).where("node <> component").select("node"), "near-gone")
     twice = (docs.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("node")).agg(F.count(F.lit(1)).alias("m"))
