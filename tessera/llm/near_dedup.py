@@ -199,8 +199,8 @@ def _vector(n: int, whole: float, body: bytes, corpus: int, damping: float) -> t
     return codes, weights_of(times.astype(np.float64), docs.astype(np.float64), corpus, damping), whole
 
 
-def near_duplicates(docs: DataFrame, threshold: float = 0.8, size: int = 5, damping: float = 0.25, bands: int = 12,
-                    rows: int = 3, block_bytes: int = 1 << 22, many: int = 8, chunk: int = 256,
+def near_duplicates(docs: DataFrame, threshold: float = 0.8, size: int = 5, damping: float = 0.25, bands: int = 20,
+                    rows: int = 5, block_bytes: int = 1 << 22, many: int = 8, chunk: int = 256,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: ``doc_id, group_id`` (smallest id of its group), ``kept`` (it is that one).
 
@@ -210,7 +210,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, size: int = 5, damp
     nothing; null ids group with nothing; both are kept. Rows with equal ids are one document
     whose group joins all that is near to any of them. Other columns are ignored; an empty table
     gives an empty result. A pair at the threshold shares a band with probability
-    1 - (1 - threshold ** rows) ** bands (0.9998 by default); nearer pairs more surely."""
+    1 - (1 - threshold ** rows) ** bands (0.9996 by default); nearer pairs more surely."""
     ids = docs.select(F.col(id_col).cast("long").alias("doc_id"))
     split = one_text_ids(docs, id_col, text_col, "_one")
     if split is None:
@@ -317,7 +317,7 @@ CANDIDATES = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("whole", pa.
                         ("k1", pa.int64()), ("k2", pa.int64()), ("codes", pa.list_(pa.int64()))])
 
 
-def near_links(docs: DataFrame, threshold: float = 0.8, size: int = 5, damping: float = 0.25, bands: int = 12, rows: int = 3,
+def near_links(docs: DataFrame, threshold: float = 0.8, size: int = 5, damping: float = 0.25, bands: int = 20, rows: int = 5,
                block_bytes: int = 1 << 22, many: int = 8, chunk: int = 256, id_col: str = "doc_id",
                text_col: str = "text") -> DataFrame:
     """Links (a, b) whose components are the groups of near duplicates: a spanning set, not all pairs."""
