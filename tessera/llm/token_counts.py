@@ -46,7 +46,7 @@ class PieceCounter:
         size = 0
         for text in texts:
             batch.append(text)
-            size += len(text)
+            size += len(text) if text.isascii() else len(text.encode("utf-8", "surrogatepass"))
             if size >= self.batch_bytes:
                 out += map(len, self.model.encode(batch, num_threads=1))
                 batch, size = [], 0

@@ -174,7 +174,10 @@ def score_toxicity(docs: DataFrame, model: Model, threshold: float = 0.7, id_col
 
 def drop_toxic(docs: DataFrame, model: Model, threshold: float = 0.7, text_col: str = "text",
                slice_bytes: int = 1 << 21) -> DataFrame:
-    """The rows of ``docs`` that score below ``threshold``, with all their columns, in one pass."""
+    """The rows of ``docs`` that score below ``threshold``, with all their columns, in one pass.
+
+    Null, empty and wordless texts score the bias; where the model tells nothing apart (one label) all rows stay. Long texts are
+    read whole, repeated rows and null ids are judged each by their text, an empty table stays empty."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     limit = float(np.log(threshold / (1 - threshold)))
 
