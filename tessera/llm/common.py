@@ -97,9 +97,9 @@ def below(hash_col: str, share: float):
 
 
 def hash_shares(rows: DataFrame, group_col: str, budget: int, max_rows: int) -> dict:
-    """For each group of ``rows`` (with ``_text``) the share of rows that holds about ``budget`` code points and a fifth more
-    than ``max_rows`` rows at most. One number a group comes to the driver."""
-    sizes = rows.groupBy(group_col).agg(F.sum(F.length("_text")).alias("size"), F.count(F.lit(1)).alias("n")).collect()
+    """For each group of ``rows`` (with ``_size``, their code points) the share of rows that holds about ``budget`` code points
+    and a fifth more than ``max_rows`` rows at most. One number a group comes to the driver."""
+    sizes = rows.groupBy(group_col).agg(F.sum("_size").alias("size"), F.count(F.lit(1)).alias("n")).collect()
     return {r[group_col]: min(1.0, budget / max(r["size"], 1), 1.2 * max_rows / r["n"] + 100 / r["n"]) for r in sizes}
 
 

@@ -249,7 +249,7 @@ def fit_languages(docs: DataFrame, max_rows: int = 1200, longest: int = 3000, id
     rows = (docs.where((fold(id_col, 4) != 2) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
             .select(F.col(lang_col).alias("_lang"), F.col(text_col).alias("_whole"), F.xxhash64(text_col, id_col).alias("_order"))
             .select("_lang", "_order", stretch("_whole", longest).alias("_text")))
-    shares = hash_shares(rows, "_lang", max_rows * longest, max_rows)
+    shares = hash_shares(rows.withColumn("_size", F.length("_text")), "_lang", max_rows * longest, max_rows)
     if not shares:
         return train([], [], **options)
     wanted = docs.sparkSession.createDataFrame([(k, int(v * STEPS)) for k, v in shares.items()], "_lang string, _below long")  # a row a language

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import subwords
-from .common import below, clean_text, fold, hash_shares, released, sliced, stretch
+from .common import below, clean_text, fold, hash_shares, materialize, released, sliced, stretch
 
 SIZES = (3, 4, 5)
 
@@ -133,22 +133,22 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, max_rows
     the text, of rows with crc32(id) mod 3 other than 1. No text is left out for its length: one of more than ``longest`` code
     points gives a stretch of so many, at a place hashed from it. An id with both labels counts as 1.
 
-    Rows are chosen by a threshold on their hash that follows from a count of the labelled texts, so no task gathers more than
-    the sample. The driver holds at most ``2 * max_rows`` texts."""
+    Rows are chosen by a threshold on their hash that follows from a count of the labelled texts, by ids and sizes alone; then
+    the texts of the chosen ids are read, so no text but the sample's moves. The driver holds at most ``2 * max_rows`` texts."""
     known = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_label")) \
         .where(F.col("_label").isin(0, 1) & (fold("_id", 3) != 1)).groupBy("_id").agg(F.max("_label").alias("_label"))
-    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")) \
-        .where((fold("_id", 3) != 1) & F.col("_text").isNotNull())
-    rows = texts.join(known, "_id").select(stretch("_text", longest).alias("_text"), "_label", F.xxhash64("_text", "_id").alias("_order"))
-    shares = hash_shares(rows, "_label", budget, max_rows)
-    parts = [rows.where((F.col("_label") == k) & below("_order", share)).orderBy("_order", "_text").limit(max_rows)
-             for k, share in sorted(shares.items())]
-    if not parts:
+    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_whole"), F.xxhash64(text_col, id_col).alias("_order")) \
+        .where((fold("_id", 3) != 1) & F.col("_whole").isNotNull())
+    sizes = texts.select("_id", "_order", F.least(F.length("_whole"), F.lit(longest)).alias("_size")).join(known, "_id")
+    chosen = None
+    for k, share in sorted(hash_shares(sizes, "_label", budget, max_rows).items()):
+        own = sizes.where((F.col("_label") == k) & below("_order", share)).orderBy("_order", "_id").limit(max_rows)
+        chosen = own if chosen is None else chosen.unionByName(own)
+    if chosen is None:
         return pd.DataFrame({"_text": [], "_label": np.zeros(0, np.int64), "_order": []})
-    sample = parts[0]
-    for part in parts[1:]:
-        sample = sample.unionByName(part)
-    return sample.toPandas()
+    chosen = F.broadcast(materialize(chosen.select("_id", "_order", "_label").distinct(), "labelled-sample"))  # ids of the sample alone
+    return texts.join(chosen, ["_id", "_order"]).select(stretch("_whole", longest).alias("_text"), "_label", "_order") \
+        .sort("_order", "_text").limit(2 * max_rows).toPandas()
 
 
 def score_toxicity(docs: DataFrame, model: Model, threshold: float = 0.7, id_col: str = "doc_id",
