@@ -200,7 +200,7 @@ def _vector(n: int, whole: float, body: bytes, corpus: int, damping: float) -> t
 
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, size: int = 5, damping: float = 0.25, bands: int = 20,
-                    rows: int = 5, block_bytes: int = 1 << 22, many: int = 8, chunk: int = 256,
+                    rows: int = 5, block_bytes: int = 1 << 21, many: int = 8, chunk: int = 256,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: ``doc_id, group_id`` (smallest id of its group), ``kept`` (it is that one).
 
@@ -318,7 +318,7 @@ CANDIDATES = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("whole", pa.
 
 
 def near_links(docs: DataFrame, threshold: float = 0.8, size: int = 5, damping: float = 0.25, bands: int = 20, rows: int = 5,
-               block_bytes: int = 1 << 22, many: int = 8, chunk: int = 256, id_col: str = "doc_id",
+               block_bytes: int = 1 << 21, many: int = 8, chunk: int = 256, id_col: str = "doc_id",
                text_col: str = "text") -> DataFrame:
     """Links (a, b) whose components are the groups of near duplicates: a spanning set, not all pairs."""
     corpus = docs.count()
