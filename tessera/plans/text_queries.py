@@ -189,6 +189,7 @@ FROM own JOIN {parts_digest_sql("own", "date", "said", "doc_id", "scores_md5")}
 def q_daily_sentiment(spark, sf):
     s = TX.score_texts(news(spark, sf), "doc_id", lexicon=lexicon(spark, sf)).drop("text").withColumn("score", F.round("score", 6))
     s = s.withColumn("said", F.coalesce(F.col("score").cast("string"), F.lit("null")))
+    s = s.select("date", "doc_id", "score", "said").checkpoint(eager=True)  # counted, cut and put in order: scored once
     items, means = TX.daily_sentiment(s, text="said")
     means = means.select("date", F.col("n_news").cast("int").alias("n_news"), "mean_sentiment_score")
     return round_doubles(O._join(means, parts_digest(items, "date", "news", "scores_md5"), ["date"]))
@@ -201,5 +202,6 @@ GROUP BY date""")
 def q_group_score_mean(spark, sf):
     # only hashes of the texts are asked for, so only hashes are put in order
     s = TX.score_texts(news(spark, sf), "doc_id", lexicon=lexicon(spark, sf)).withColumn("text", F.md5("text"))
+    s = s.select("date", "doc_id", "score", "text").checkpoint(eager=True)  # counted, cut and put in order: scored once
     items, means = group_score_mean(s, "date", "text", "score", ["doc_id"])
     return round_doubles(O._join(means.select("date", "mean_sentiment_score"), parts_digest(items, "date", "news", "news_md5"), ["date"]))
