@@ -23,6 +23,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -314,8 +315,14 @@ def _fit_spread(rows: DataFrame, params: list[dict], base: float, features: int,
                 for s in live:
                     own = histogram(bins, trees[s].nodes(bins, level), trees[s].open, pred[:, s] - y, sampled(numbers, params[s], t), size)
                     sums[s] = sums[s] + own if s in sums else own
+            salt = TaskContext.get().partitionId() % 64
             for s, h in sums.items():
-                yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([h.tobytes()], pa.binary())], names=["booster", "hist"])
+                yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([salt], pa.int32()), pa.array([h.tobytes()], pa.binary())],
+                                                 names=["booster", "salt", "hist"])
+
+        def merge(group: pa.Table) -> pa.Table:
+            whole = sum(np.frombuffer(x, float) for x in group.column("hist").to_pylist())
+            return pa.table({"booster": group.column("booster")[:1], "salt": group.column("salt")[:1], "hist": pa.array([whole.tobytes()], pa.binary())})
 
         def choose(group: pa.Table) -> pa.Table:
             s = group.column("booster")[0].as_py()
@@ -324,8 +331,10 @@ def _fit_spread(rows: DataFrame, params: list[dict], base: float, features: int,
             splits = best_splits(whole, tree_columns(params[s], t, features), params[s])
             return pa.table({"booster": pa.array([s], pa.int32()), "splits": [json.dumps(splits)]})
 
-        found = (state.mapInArrow(add, "booster int, hist binary").groupBy("booster")
-                 .applyInArrow(choose, "booster int, splits string").collect())  # a split for each open node
+        # in two steps, so that no group holds the histograms of all tasks; then a split for each open node
+        kind = "booster int, salt int, hist binary"
+        found = (state.mapInArrow(add, kind).groupBy("booster", "salt").applyInArrow(merge, kind).groupBy("booster")
+                 .applyInArrow(choose, "booster int, splits string").collect())
         return {r["booster"]: json.loads(r["splits"]) for r in found}
 
     for t in range(max(p["n_estimators"] for p in params)):
