@@ -77,3 +77,14 @@ def test_parts_digest(spark):
     for k in (None, 0, 1):
         own = ["" if v is None else md5(v) for kk, _, v in rows if kk == k]
         assert got[k] == md5("".join(md5("".join(own[i:i + 4])) for i in range(0, len(own), 4)))
+
+
+def test_only_a_calls_tokens_are_python_objects(spark):
+    df = spark.createDataFrame([(i, ["token"] * 8) for i in range(2000)], "id long, tokens array<string>").coalesce(1)
+
+    def load():
+        import gc
+        return lambda windows: np.full(len(windows), float(sum(type(o) is list and len(o) == 8 and o[0] == "token" for o in gc.get_objects())))
+
+    held = [r["score"] for r in TX.score_with_model(df, "id", load, window=8, budget=800).collect()]
+    assert len(held) == 2000 and max(held) <= 200
