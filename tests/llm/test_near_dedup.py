@@ -118,6 +118,32 @@ def test_a_large_group_of_near_copies(spark):
     assert {r.group_id for r in got} == {0} and sum(r.kept for r in got) == 1
 
 
+def test_blocks_hold_no_class_of_the_largest_component_for_its_own(spark, monkeypatch):
+    rng = random.Random(8)
+    base = [f"w{rng.randrange(10_000)}" for _ in range(120)]
+    texts = []
+    for _ in range(300):
+        own = list(base)
+        own[rng.randrange(len(own))] = f"x{rng.randrange(10**6)}"
+        texts.append(" ".join(own))
+    ends = [[f"{c}{i}v{j}" for j in range(40)] for c in "yz" for i in range(5)]
+    texts += [" ".join(base[:40] + a + b) for a in ends[:5] for b in ends[5:]]  # a third of the words, not near to any
+    written = {}
+
+    def kept(df, name):
+        written[name] = materialized(df, name)
+        return written[name]
+
+    materialized = N.materialize
+    monkeypatch.setattr(N, "materialize", kept)
+    docs = docs_frame(spark, texts)
+    got = N.near_duplicates(docs, chunk=8, bands=8, rows=1).collect()  # short codes, so that buckets hold several components
+    assert groups(got) == brute(list(enumerate(texts)))
+    rows = written["near-blocks"].groupBy("band", "code").count().collect()
+    # 325 classes in chunks of 8: about 41 rows of each where all meet all
+    assert rows and 300 < max(r["count"] for r in rows) < 10 * 325
+
+
 def test_samples_estimate_weighted_jaccard():
     rng = np.random.default_rng(5)
     codes = np.sort(rng.integers(0, 1 << 56, 300).astype(np.uint64))
