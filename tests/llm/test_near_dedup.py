@@ -144,6 +144,42 @@ def test_blocks_hold_no_class_of_the_largest_component_for_its_own(spark, monkey
     assert rows and 300 < max(r["count"] for r in rows) < 10 * 325
 
 
+def test_a_class_goes_to_a_block_only_where_a_pair_is_left(spark, monkeypatch):
+    rng = random.Random(14)
+    texts = []
+    for f in range(12):
+        base = [f"w{f}v{rng.randrange(10_000)}" for _ in range(100)]
+        for i in range(6):  # each shares enough with the others, no two are near
+            own = list(base)
+            for at in (8 * i, 8 * i + 7):
+                own[at + 10] = f"x{f}y{i}z{at}"
+            texts.append(" ".join(own))
+    written = {}
+
+    def kept(df, name):
+        written[name] = materialized(df, name)
+        return written[name]
+
+    materialized = N.materialize
+    monkeypatch.setattr(N, "materialize", kept)
+    got = N.near_duplicates(docs_frame(spark, texts), threshold=0.8, bands=20, rows=1).collect()
+    assert groups(got) == brute(list(enumerate(texts)))
+    placed, rows = written["near-places"].collect(), written["near-blocks"].collect()
+    codes = {r.rep: r.codes for r in written["near-classes"].collect()}
+    asked = Counter()
+    needed = set()
+    for r in placed:
+        for q in placed:
+            if (r.band, r.code, r.c1, r.c2) == (q.band, q.code, q.c1, q.c2) and r.rep < q.rep and r.component != q.component \
+                    and min(r.own, q.own) < r.few and (r.own != q.own or r.c2 == r.few):
+                if not any(x == y for x, y in zip(codes[r.rep][:r.band], codes[q.rep][:r.band])):
+                    asked[r.rep, q.rep] += 1
+                    needed |= {(r.band, r.code, r.c1, r.c2, r.rep), (r.band, r.code, r.c1, r.c2, q.rep)}
+    assert asked and max(asked.values()) == 1  # each pair in its first band alone
+    assert {(r.band, r.code, r.c1, r.c2, r.rep) for r in rows} == needed and len(rows) == len(needed)
+    assert 2 * len(rows) < len(placed)
+
+
 def test_samples_estimate_weighted_jaccard():
     rng = np.random.default_rng(5)
     codes = np.sort(rng.integers(0, 1 << 56, 300).astype(np.uint64))
