@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import RELEASE, clean_text, materialize, released, sliced
+from .common import RELEASE, clean_text, materialize, release, released, sliced
 
 UNITS = re.compile(r"\s*\S+|\s+")
 #: white space other than blank and line feed; the libraries differ on the kind of the first four
@@ -139,6 +139,7 @@ def token_pieces(docs: DataFrame, size: int = 1024, end_id: int | None = 2, voca
                 arrays.append(pa.array(ids, pa.list_(pa.int32())))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(arrays, names=names)
+            release(True)  # what the encoder has freed
 
     rows = docs.select(docs[id_col].alias("doc_id"), clean_text(text_col).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
