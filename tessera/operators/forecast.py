@@ -216,8 +216,12 @@ def var_forecast(df: DataFrame, value: str, keys=(), order="date", max_lags: int
                         B = np.linalg.lstsq(XX, XY, rcond=None)[0]
                     S = (YY - XY.T @ B - B.T @ XY + B.T @ XX @ B) / n
                     det = np.linalg.det(S)
-                    if not det > 0:
-                        continue
+                    if not det > 0:  # nothing is left of a component but rounding, or the regressors are dependent
+                        size, scale = np.sqrt(np.diag(XX)), np.sqrt(np.diag(YY) / n)
+                        if not (size > 0).all() or not (scale > 0).all() or np.linalg.matrix_rank(XX / np.outer(size, size)) < len(XX):
+                            continue
+                        rest = np.linalg.eigvalsh(S / np.outer(scale, scale))
+                        det = np.prod(np.maximum(rest, np.finfo(float).eps)) * np.prod(scale) ** 2
                     aic = np.log(det) + 2.0 * k * (k * p + 1) / n
                     if best is None or aic < best[0]:
                         best = (aic, p, B)
